@@ -129,7 +129,7 @@ def subgroup_sums(
     ``empty_totals``: the level without keys reports every fixed subgroup, also one
     that has no students.
     """
-    sums = list(summary.row_columns())
+    sums = summary.column_names()
     keys = list(dict.fromkeys(k for level in levels for k in level.keys))
     long = cells.withColumn("_group", F.explode(_memberships(spec)))
     loose = [s for s in spec.fixed if s.ungated is not None]

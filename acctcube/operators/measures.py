@@ -68,6 +68,15 @@ class Summary:
                 cols[f"_n_free_{a.name}"] = flag(a.ungated.isNotNull())
         return cols
 
+    def column_names(self) -> list[str]:
+        names: list[str] = []
+        for m in self.measures:
+            names += [m.name, f"_missing_{m.name}"] if m.strict else [m.name]
+        for a in self.averages:
+            names += [f"_sum_{a.name}", f"_n_{a.name}"]
+            names += [f"_sum_free_{a.name}", f"_n_free_{a.name}"] if a.ungated is not None else []
+        return names
+
     def ungated_pairs(self) -> list[tuple[str, str]]:
         """(gated sum, ungated sum) column names."""
         names = [a.name for a in self.averages if a.ungated is not None]
@@ -75,12 +84,13 @@ class Summary:
 
     def sums(self, columns: Mapping[str, Column] | None = None) -> list[Column]:
         """Sum aggregates over row values, or over earlier sums when no columns are given."""
-        columns = columns or {n: F.col(n) for n in self.row_columns()}
+        columns = columns or {n: F.col(n) for n in self.column_names()}
         return [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in columns.items()]
 
     def finish(self, sums: DataFrame) -> DataFrame:
         """Sums to published counts and rounded averages."""
-        groups = [c for c in sums.columns if c not in self.row_columns()]
+        inner = set(self.column_names())
+        groups = [c for c in sums.columns if c not in inner]
         out = [
             self.rounding(F.try_divide(F.col(f"_sum_{a.name}").cast("double"), F.col(f"_n_{a.name}")), self.digits).alias(a.name)
             for a in self.averages

@@ -25,9 +25,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str
     )
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """A typed table landed as Parquet."""
-    return spark.read.parquet(path)
+def read_landed(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """A typed table landed as Parquet.  A given schema saves reading the footers to plan."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def decode_fixed_width(lines: DataFrame, layout: Sequence[Field], value: str = "value") -> DataFrame:

@@ -12,8 +12,20 @@ from acctcube.fixed_values import HIGHEST_LAYOUT
 from acctcube.sources import read_landed
 
 
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_landed(spark, f"{sf}/{name}.parquet")
+    return read_landed(spark, f"{sf}/{name}.parquet", SCHEMAS[name])
 
 
 def _mod(col: str, n: int) -> Column:
