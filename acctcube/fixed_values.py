@@ -63,6 +63,9 @@ SCHOOL_NAMES_IF_MISSING = {
     (985, 8140): "Hillcrest High School",
 }
 
+# Entries of that list that the 2016 files did not have.
+NOT_IN_2016 = [(190, 740), (970, 140), (985, 8140)]
+
 # School names used whatever the crosswalk says.
 SCHOOL_NAMES_FORCED = {
     (970, 25): "Woodland Hills Youth Development Center",

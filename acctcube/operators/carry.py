@@ -9,20 +9,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 from acctcube.session import cut_lineage
 
 
-def carry_forward(df: DataFrame, order: Sequence[str], columns: Sequence[str], out: dict[str, str] | None = None) -> DataFrame:
+def carry_forward(
+    df: DataFrame, order: Sequence[str], columns: Sequence[str], out: dict[str, str] | None = None
+) -> DataFrame:
     """Fill each missing value with the last one before it in ascending order, missing keys last.
 
     Values before the first known one stay missing.  The rows are range partitioned
     by the order and fixed by a checkpoint, because range bounds are sampled and two
     evaluations may differ.  Each range then needs only its own rows and one value
     per column from the ranges before it: a table with one row per partition.
+    Adaptive execution may merge neighbouring ranges before they are numbered.
     """
-    spark = df.sparkSession
     out = out or {}
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(
-        df.repartitionByRange(n, *[F.asc_nulls_last(c) for c in order]).withColumn("_range", F.spark_partition_id())
-    )
+    ranges = df.repartitionByRange(*[F.asc_nulls_last(c) for c in order])
+    ranged = cut_lineage(ranges.withColumn("_range", F.spark_partition_id()))
     so_far = (
         Window.partitionBy("_range")
         .orderBy(*[F.asc_nulls_last(c) for c in order])

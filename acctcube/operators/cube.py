@@ -145,7 +145,8 @@ def subgroup_sums(
     fill = empty_totals and total is not None and bool(spec.fixed)
     if fill:
         types = dict(long.dtypes)
-        blank = long.sparkSession.createDataFrame([(s.label,) for s in spec.fixed], "_name string").select(
+        labels = F.array(*[F.lit(s.label) for s in spec.fixed])
+        blank = long.sparkSession.range(0, 1, 1, 1).select(F.explode(labels).alias("_name")).select(
             *[F.lit(None).cast(types[k]).alias(k) for k in keys],
             F.lit("label").alias("_kind"),
             "_name",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from acctcube.fixed_values import NOT_IN_2016, SCHOOL_NAMES_IF_MISSING, SCORES
+from acctcube.functions import pick, starts_with
 from acctcube.operators.appeals import appeal_indicators, merge_appeals
 from acctcube.operators.cohort import student_level
 from acctcube.operators.cube import LEVELS, all_subgroups, five_subgroups, subgroup_cube
@@ -34,6 +36,17 @@ def post_appeals_cube(students: DataFrame, loose_super: bool = False) -> DataFra
     return rates(subgroup_cube(students, indicator_summary(keep_ungated=loose_super), spec))
 
 
+def student_file(students: DataFrame) -> DataFrame:
+    """The student columns that are given out, with names and the other test where there are any."""
+    optional = [c for c in ("last_name", "first_name", "sat_total") if c in students.columns]
+    return students.select(
+        "system",
+        "school",
+        F.col("student_key").alias("state_stud_id"),
+        *pick(optional, "gender", SCORES, starts_with(students, "n_cr_")),
+    )
+
+
 def base_file(cohort: DataFrame, attempts: DataFrame, appeals: DataFrame, school_names: DataFrame) -> DataFrame:
     """Attempts and cohort to the named base table."""
     students = post_appeals_students(student_level(cohort, attempts), appeals)
@@ -46,6 +59,12 @@ def subgroups_2016(students: DataFrame, el: str = "el", swd: str = "swd") -> Dat
     return rates_suppressed(cube)
 
 
+def base_file_2016(students: DataFrame, school_names: DataFrame, el: str = "el", swd: str = "swd") -> DataFrame:
+    """The 2016 rows with names; there is no state row."""
+    overrides = {k: v for k, v in SCHOOL_NAMES_IF_MISSING.items() if k not in NOT_IN_2016}
+    return label_names(subgroups_2016(students, el, swd), school_names, overrides, state_name=None)
+
+
 def totals_2016(students: DataFrame, *keys: str) -> DataFrame:
     """All students per group (district, school or state), with a missing-gender column."""
     rows = rates_missing_gender(missing_gender_summary().by(students, *keys))

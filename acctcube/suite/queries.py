@@ -367,6 +367,11 @@ def rates_gender_missing_school(spark, sf):
     return files.totals_2016(students_2016(spark, sf), "system", "school")
 
 
+@query
+def rates_gender_missing_state(spark, sf):
+    return files.totals_2016(students_2016(spark, sf))
+
+
 @query
 def region_rollup(spark, sf):
     return rp.region_rollup(students_2016(spark, sf), t.regions(spark, sf))
@@ -534,6 +539,11 @@ def appeal_indicators(spark, sf):
     return appealed(spark, sf)
 
 
+@query
+def student_file(spark, sf):
+    return files.student_file(appealed(spark, sf))
+
+
 # ---- labels ----------------------------------------------------------------
 
 
@@ -543,6 +553,11 @@ def label_names(spark, sf):
     return lb.label_names(cube, t.school_names(spark, sf), IF_MISSING)
 
 
+@query
+def label_names_2016(spark, sf):
+    return files.base_file_2016(students_2016(spark, sf), t.school_names(spark, sf))
+
+
 @query
 def label_names_forced(spark, sf):
     rows = ms.Summary(ms.score_measures(), []).by(students(spark, sf), "system", "school")

@@ -575,9 +575,19 @@ def oracle() -> dict[str, str]:
         "All Students", "Black/Hispanic/Native American", "Economically Disadvantaged", "English Learners",
         "Students with Disabilities"]}
     means = avg_sql(["english", "math", "science", "composite"], where=None)
-    o["pct_suppressed_30"] = with_views(
-        suppressed_sql(cube_sql(score_sql(False), means, "fil", ("school", "district"), five, race=False)), "fil")
-    for name, keys in (("rates_gender_missing", ["system"]), ("rates_gender_missing_school", ["system", "school"])):
+    cube_2016 = suppressed_sql(cube_sql(score_sql(False), means, "fil", ("school", "district"), five, race=False))
+    o["pct_suppressed_30"] = with_views(cube_2016, "fil")
+    o["label_names_2016"] = with_views(
+        """select * exclude (system_name) replace (
+          case when school_name is null and school = 0 then 'All Schools' else school_name end as school_name),
+          last_value(system_name ignore nulls) over (order by system, school, subgroup
+            rows between unbounded preceding and current row) as system_name
+        from cube left join xsch using (system, school)""", "fil", "xsch", extra={"cube": cube_2016})
+    for name, keys in (
+        ("rates_gender_missing", ["system"]),
+        ("rates_gender_missing_school", ["system", "school"]),
+        ("rates_gender_missing_state", []),
+    ):
         o[name] = with_views(
             gender_missing_rates_sql(rounded(group_sql(avg_sql() | gender_missing_sql(), "fil", keys), "up")), "fil")
     o["region_rollup"] = with_views(
@@ -640,6 +650,10 @@ def oracle() -> dict[str, str]:
     o["student_level_fill"] = with_views("select * from fil", "fil")
     o["appeal_indicators"] = with_views("select * from ind", "ind")
 
+    o["student_file"] = with_views(
+        f"""select system, school, student_key as state_stud_id, sat_total, gender, {', '.join([*SCORES, *FLAGS])}
+        from ind""", "ind")
+
     filled = named_case(IF_MISSING, "null")
     o["label_names"] = with_views(
         f"""select * exclude (system_name) replace (
