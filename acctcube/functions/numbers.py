@@ -26,12 +26,9 @@ def round_even(x: Column, digits: int = 0) -> Column:
     x = x.cast("double")
     if digits == 0:
         return F.rint(x)
-    scale = float(10**digits)
-    below = F.floor(x * scale)
-    lower = below / F.lit(scale)
-    upper = F.ceil(x * scale) / F.lit(scale)
-    down, up = x - lower, upper - x
-    return F.when((down < up) | ((down == up) & (below % 2 == 0)), lower).otherwise(upper)
+    scale = F.lit(float(10**digits))
+    whole = F.floor(x)
+    return (whole * scale + F.rint((x - whole) * scale)) / scale
 
 
 def round_up(x: Column, digits: int = 0) -> Column:

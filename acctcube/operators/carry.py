@@ -18,10 +18,12 @@ def carry_forward(
     by the order and fixed by a checkpoint, because range bounds are sampled and two
     evaluations may differ.  Each range then needs only its own rows and one value
     per column from the ranges before it: a table with one row per partition.
-    Adaptive execution may merge neighbouring ranges before they are numbered.
+    Adaptive execution may merge neighbouring ranges before they are numbered.  Rows
+    equal in the order stay in input order, and can be spread over several ranges.
     """
-    out = out or {}
-    ranges = df.repartitionByRange(*[F.asc_nulls_last(c) for c in order])
+    out, order = out or {}, [*order, "_row"]
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    ranges = numbered.repartitionByRange(*[F.asc_nulls_last(c) for c in order])
     ranged = cut_lineage(ranges.withColumn("_range", F.spark_partition_id()))
     so_far = (
         Window.partitionBy("_range")
@@ -40,4 +42,4 @@ def carry_forward(
     # at most one row per shuffle partition
     joined = filled.join(F.broadcast(carried), "_range", "left")
     named = joined.withColumns({out.get(c, c): F.coalesce(f"_so_far_{c}", f"_before_{c}") for c in columns})
-    return named.drop("_range", *[f"{p}{c}" for c in columns for p in ("_so_far_", "_before_")])
+    return named.drop("_range", "_row", *[f"{p}{c}" for c in columns for p in ("_so_far_", "_before_")])

@@ -40,7 +40,7 @@ from acctcube.operators import labels as lb, measures as ms, reconcile as rc, re
 from acctcube.operators.carry import carry_forward
 from acctcube.plans import files
 from acctcube.session import scratch_path
-from acctcube.sources import decode_fixed_width, read_csv, read_fixed_width, save_table, write_csv, write_split
+from acctcube.sources import read_csv, read_fixed_width, save_table, write_csv, write_split
 from acctcube.suite import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -459,8 +459,10 @@ def decode_month_year(spark, sf):
 
 @query
 def decode_ymd(spark, sf):
-    rows = decode_fixed_width(t.highest_records(spark, sf), HIGHEST_LAYOUT)
-    return rows.select("id2", "dob", ymd_text(F.col("dob")).alias("born"))
+    # days 28 to 34 of any month
+    day = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + 27 + F.col("l_linenumber")
+    rows = t.table(spark, sf, "lineitem").select("l_orderkey", day.cast("string").alias("dob"))
+    return rows.select("l_orderkey", "dob", ymd_text(F.col("dob")).alias("born"))
 
 
 @query
@@ -664,4 +666,6 @@ def missing_id_report(spark, sf):
 
 @query
 def unmatched_ids(spark, sf):
-    return rp.unmatched_ids(decode_fixed_width(t.highest_records(spark, sf), HIGHEST_LAYOUT))
+    path = scratch_path(spark, "highest-records")
+    t.highest_records(spark, sf).write.text(path)
+    return rp.unmatched_ids(read_fixed_width(spark, path, HIGHEST_LAYOUT))

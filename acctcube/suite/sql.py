@@ -33,12 +33,8 @@ def q(text: str) -> str:
 
 
 def even1(x: str) -> str:
-    """One digit, nearest stored value, exact ties to even."""
-    lo, hi = f"floor({x} * 10) / 10", f"ceil({x} * 10) / 10"
-    return (
-        f"case when {x} - {lo} < {hi} - {x} or ({x} - {lo} = {hi} - {x} and floor({x} * 10) % 2 = 0)"
-        f" then {lo} else {hi} end"
-    )
+    """One digit, exact ties to even."""
+    return f"(floor({x}) * 10 + round_even(({x} - floor({x})) * 10, 0)) / 10"
 
 
 def even0(x: str) -> str:
@@ -623,7 +619,7 @@ def oracle() -> dict[str, str]:
         f"""select usid, code, {date_code('code')} as test_date from (select usid,
         act_testdate + case when act_math_highest > 30 then 900 else 0 end as code from mat)""", "mat")
     o["decode_ymd"] = with_views(
-        "select id2, dob, cast(try_strptime(dob, '%Y%m%d') as date) as born from fwh", "fwh")
+        "select cast(id2 as bigint) as l_orderkey, dob, cast(try_strptime(dob, '%Y%m%d') as date) as born from fwh", "fwh")
     o["try_cast_ids"] = """select raw, case when raw like '%x' then null else cast(floor(cast(trim(raw) as double)) as bigint) end as id,
       case when raw like '%x' then null else cast(trim(raw) as double) end as number
       from (select ' ' || o_orderkey || case o_orderstatus when 'P' then 'x' when 'F' then '.7' else ' ' end as raw from orders)"""

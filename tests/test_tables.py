@@ -44,6 +44,17 @@ def test_carry_forward_random_across_ranges(spark, frame):
     assert len(out) == len(rows)
 
 
+def test_carry_forward_splits_ties(spark, frame):
+    # one order key holds nearly all rows; they keep their input order
+    df = frame([(1, i, "v" if i == 0 else None) for i in range(4000)] + [(2, 4000, None)], "k int, i int, v string").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = carry_forward(df, ["k"], ["v"])
+        assert out.where("v is null").count() == 0 and out.count() == 4001
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_label_names(frame):
     base = frame(
         [(0, 0, "All"), (1, 0, "All"), (1, 5, "All"), (2, 0, "All"), (2, 3, "All"), (2, 4, "All")],
