@@ -35,7 +35,9 @@ def key_profile(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 1_
         F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top"),
     ).first()
     floor = max(share * row.rows, min_rows)
-    return KeyProfile(row.rows, row.missing, [t["item"] for t in (row.top or []) if t["count"] >= floor])
+    # the sketch counts missing keys too
+    hot = [t["item"] for t in (row.top or []) if t["item"] is not None and t["count"] >= floor]
+    return KeyProfile(row.rows, row.missing, hot)
 
 
 def attach_unique(

@@ -116,6 +116,7 @@ def test_key_profile_finds_hot_keys(frame):
     profile = key_profile(df, "k", share=0.2, min_rows=1)
     assert (profile.rows, profile.missing, profile.hot) == (200, 20, [7])
     assert key_profile(df, "k").hot == []
+    assert key_profile(df, "k", share=0.05, min_rows=1).hot == [7]
     empty = key_profile(df.where("k < 0"), "k", min_rows=1)
     assert (empty.rows, empty.missing, empty.hot) == (0, 0, [])
 

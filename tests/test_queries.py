@@ -18,8 +18,12 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_matches_sql(spark, sf, con, name):
-    assert compare(entry.queries()[name](spark, sf), con, SQL[name]) == []
+def test_matches_sql(spark, sf, con, plan, name):
+    df = entry.queries()[name](spark, sf)
+    assert compare(df, con, SQL[name]) == []
+    physical = plan(df)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert node not in physical
 
 
 def test_compare_sees_differences(spark, sf, con):
