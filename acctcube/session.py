@@ -26,6 +26,11 @@ def build_session(app_name: str = "acctcube", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         # no call-site capture per column expression: plans here have hundreds
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # a cohort of a few million keys becomes a bloom filter of at most 8 MB on the
+        # scan of the attempts, where that scan is over 10 GB
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+        "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

@@ -1,11 +1,12 @@
 from acctcube.sources.readers import decode_fixed_width, read_csv, read_fixed_width, read_landed
-from acctcube.sources.writers import save_table, write_csv, write_split
+from acctcube.sources.writers import save_bucketed, save_table, write_csv, write_split
 
 __all__ = [
     "decode_fixed_width",
     "read_csv",
     "read_fixed_width",
     "read_landed",
+    "save_bucketed",
     "save_table",
     "write_csv",
     "write_split",

@@ -10,6 +10,7 @@ from acctcube.fixed_values import (
     BENCHMARKS,
     HIGHEST_LAYOUT,
     RACE_LABELS,
+    RETAKE_LAYOUT,
     SCHOOL_NAMES_FORCED,
     SCHOOL_NAMES_IF_MISSING,
     SCORES,
@@ -131,6 +132,13 @@ def src_fixed_width(spark, sf):
     return read_fixed_width(spark, path, t.SHORT_LAYOUT)
 
 
+@query
+def src_fixed_width_retake(spark, sf):
+    path = scratch_path(spark, "retake-records")
+    t.retake_records(spark, sf).write.text(path)
+    return read_fixed_width(spark, path, RETAKE_LAYOUT)
+
+
 @query
 def src_parquet(spark, sf):
     return save_table(t.cohort(spark, sf), scratch_path(spark, "cohort"))

@@ -497,6 +497,16 @@ def oracle() -> dict[str, str]:
     o["src_fixed_width"] = """select l_orderkey as id,
       case when l_partkey % 17 = 0 then null else cast(1 + l_partkey % 36 as int) end as english,
       cast(1 + l_suppkey % 36 as int) as math, strftime(l_shipdate, '%Y%m%d') as date from lineitem"""
+    o["src_fixed_width_retake"] = f"""select cast(extract(year from l_shipdate) % 100 as double) as year,
+      'Läst' || l_suppkey as last, 'First' || l_partkey as first,
+      case when l_linenumber <> 2 then l_returnflag else '' end as middle, l_partkey || ' Main Street' as address,
+      case when l_linenumber % 2 = 0 then 'F' else 'M' end as gender,
+      case when l_linenumber > 3 then cast(12 as double) end as grade, cast(l_partkey as double) as act_id,
+      cast(strftime(l_shipdate, '%y%m%d') as double) as dob, 'Somewhere' as city, cast(l_suppkey as double) as zip,
+      cast(l_orderkey as double) as state_id, cast(l_suppkey as double) as act_hs_code,
+      cast({_SHIP_CODE} as double) as test_date, cast(1 + l_partkey % 36 as varchar) as english,
+      cast(1 + l_suppkey % 36 as varchar) as math, cast(1 + l_orderkey % 36 as varchar) as reading, '--' as science,
+      case when l_linestatus = 'F' then cast(1 + l_linenumber % 36 as varchar) else '' end as composite from lineitem"""
     o["sink_csv"] = with_views("select * from att", "att")
     o["sink_spreadsheet_csv"] = with_views("select * from trk", "trk")
 

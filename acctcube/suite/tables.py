@@ -6,10 +6,13 @@ same views as SQL for the comparison.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from acctcube.fixed_values import HIGHEST_LAYOUT
+from acctcube.fixed_values import HIGHEST_LAYOUT, RETAKE_LAYOUT
 from acctcube.sources import read_landed
+from acctcube.sources.readers import Field
 
 
 SCHEMAS = {
@@ -214,14 +217,45 @@ def highest_records(spark: SparkSession, sf: str) -> DataFrame:
         "science": F.lit(""),
         "composite": F.col("l_quantity").cast("int").cast("string"),
     }
+    return _lines(rows, HIGHEST_LAYOUT, cells)
+
+
+def retake_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Fixed-width records in the retake layout."""
+    rows = table(spark, sf, "lineitem")
+    text = lambda c: F.col(c).cast("string")
+    two = lambda c: (1 + F.col(c) % 36).cast("string")
+    cells = {
+        "year": F.date_format("l_shipdate", "yy"),
+        "last": F.concat(F.lit("Läst"), text("l_suppkey")),
+        "first": F.concat(F.lit("First"), text("l_partkey")),
+        "middle": F.when(F.col("l_linenumber") != 2, F.col("l_returnflag")).otherwise(""),
+        "address": F.concat(text("l_partkey"), F.lit(" Main Street")),
+        "gender": F.when(F.col("l_linenumber") % 2 == 0, "F").otherwise("M"),
+        "grade": F.when(F.col("l_linenumber") > 3, "12").otherwise("xx"),
+        "act_id": text("l_partkey"),
+        "dob": F.date_format("l_shipdate", "yyMMdd"),
+        "city": F.lit("Somewhere"),
+        "zip": F.lpad(text("l_suppkey"), 5, "0"),
+        "state_id": text("l_orderkey"),
+        "act_hs_code": text("l_suppkey"),
+        "test_date": _month_year("l_shipdate").cast("string"),
+        "english": two("l_partkey"),
+        "math": two("l_suppkey"),
+        "reading": two("l_orderkey"),
+        "science": F.lit("--"),
+        "composite": F.when(F.col("l_linestatus") == "F", two("l_linenumber")).otherwise(""),
+    }
+    return _lines(rows, RETAKE_LAYOUT, cells)
+
+
+def _lines(rows: DataFrame, layout: Sequence[Field], cells: dict[str, Column]) -> DataFrame:
+    """Cells laid out at their byte positions (``rpad`` would count characters)."""
     line, used = [], 0
-    for name, first, last, _ in HIGHEST_LAYOUT:
-        width = last - first + 1
+    for name, first, last, _ in layout:
         if first > used + 1:
             line.append(F.lit(" " * (first - used - 1)))
-        # pad by bytes: rpad counts characters
-        cell = cells[name]
-        pad = F.lit(width) - F.octet_length(cell)
-        line.append(F.concat(cell, F.repeat(F.lit(" "), pad)))
+        pad = F.lit(last - first + 1) - F.octet_length(cells[name])
+        line.append(F.concat(cells[name], F.repeat(F.lit(" "), pad)))
         used = last
     return rows.select(F.concat(*line).alias("value"))

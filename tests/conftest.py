@@ -9,16 +9,15 @@ SF = os.environ.get("ACCTCUBE_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        build_session(
-            "tests",
-            **{
-                "spark.master": os.environ.get("ACCTCUBE_MASTER", "local[8]"),
-                "spark.sql.shuffle.partitions": "8",
-                "spark.ui.enabled": "false",
-                "spark.driver.memory": "8g",
-            },
-        )
+    session = build_session(
+        "tests",
+        **{
+            "spark.master": os.environ.get("ACCTCUBE_MASTER", "local[8]"),
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "10000",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
