@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from acctcube.fixed_values import NOT_IN_2016, SCHOOL_NAMES_IF_MISSING, SCORES
 from acctcube.functions import pick, starts_with
 from acctcube.operators.appeals import appeal_indicators, merge_appeals
-from acctcube.operators.cohort import student_level
+from acctcube.operators.cohort import (
+    decode_attempts,
+    exclude_location,
+    id_mismatch,
+    stack_attempts,
+    student_level,
+)
 from acctcube.operators.cube import LEVELS, all_subgroups, five_subgroups, subgroup_cube
 from acctcube.operators.labels import label_names
 from acctcube.operators.measures import (
@@ -21,6 +29,38 @@ from acctcube.operators.measures import (
 )
 
 
+HIGHEST_NAMES = {"test_date": "act_testdate", **{c: f"act_{c}_highest" for c in SCORES}}
+STATE_DAY_NAMES = {
+    "test_date": "testdate",
+    "english": "act_eng",
+    "math": "act_math",
+    "reading": "act_read",
+    "science": "act_sci",
+    "composite": "act_composite",
+}
+
+
+def all_attempts(
+    highest: DataFrame,
+    state_days: Mapping[str, DataFrame],
+    matched: DataFrame,
+    labels: tuple[str, str] = ("ACT highest", "Test match"),
+) -> DataFrame:
+    """Every score file in one table: the highest scores, the state days (label -> table)
+    without make-up locations, and the matched records that belong to another id than
+    the one recorded.  The label decides between records that are otherwise equal.
+    """
+    key = "student_id"
+    parts = [(highest, {key: "unique_student_id", **HIGHEST_NAMES}, labels[0])]
+    parts += [
+        (exclude_location(day), {key: "state_stud_id", **STATE_DAY_NAMES}, label)
+        for label, day in state_days.items()
+    ]
+    other = id_mismatch(matched, "unique_student_id", "usid")
+    parts.append((other, {key: "usid", **HIGHEST_NAMES}, labels[1]))
+    return decode_attempts(stack_attempts(parts), key)
+
+
 def highest_score_cube(students: DataFrame) -> DataFrame:
     """Every level and subgroup from best scores."""
     return rates(subgroup_cube(students, score_summary()))

@@ -539,6 +539,14 @@ def student_level(spark, sf):
     return students(spark, sf)
 
 
+@query
+def student_level_all_files(spark, sf):
+    attempts = files.all_attempts(
+        t.highest_file(spark, sf), {"State day": t.state_day_file(spark, sf)}, t.matched(spark, sf)
+    )
+    return co.student_level(t.cohort(spark, sf), attempts)
+
+
 @query
 def student_level_fill(spark, sf):
     return students_2016(spark, sf)

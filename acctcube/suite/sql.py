@@ -183,6 +183,8 @@ VIEWS: dict[str, str] = {
       {_SHIP_CODE} as act_testdate,
       cast(1 + l_partkey % 36 as int) as act_english_highest,
       cast(1 + l_suppkey % 36 as int) as act_math_highest,
+      cast(1 + (l_partkey * 3 + l_suppkey) % 36 as int) as act_reading_highest,
+      cast(1 + (l_partkey * 5 + l_suppkey) % 36 as int) as act_science_highest,
       cast(1 + cast(trunc(l_extendedprice) as bigint) % 36 as int) as act_composite_highest
       from lineitem""",
     "fwh": _cells(),
@@ -653,6 +655,23 @@ def oracle() -> dict[str, str]:
     o["benchmark_flags_zero"] = with_views(
         f"select *, {flags_sql('zero')} from (select * replace ({blank}) from att)", "att")
     o["student_level"] = with_views("select * from stu", "stu")
+    every = f"""select student_id, {date_code('test_date')} as test_date, {', '.join(SCORES)}, file from (
+      select student_id, test_date, {', '.join(SCORES)}, 'ACT highest' as file from att
+      union all
+      select l_orderkey, {_SHIP_CODE}, cast(1 + (l_partkey + l_linenumber) % 36 as int), cast(1 + (l_suppkey + l_linenumber) % 36 as int),
+        cast(1 + (l_partkey * 2 + l_linenumber) % 36 as int), cast(1 + (l_suppkey * 2 + l_linenumber) % 36 as int),
+        case when l_linenumber <> 5 then cast(1 + cast(l_quantity as int) % 36 as int) end, 'State day'
+      from lineitem where l_tax <> 0.08 and l_tax <> 0.0
+      union all
+      select usid, act_testdate, {', '.join(f'act_{c}_highest' for c in SCORES)}, 'Test match' from mat
+      where unique_student_id is null or usid <> unique_student_id)"""
+    top = f"""select * exclude (rn) from (select *, row_number() over (partition by student_id
+      order by {_ORDER}, file asc nulls last) as rn from every_) where rn = 1"""
+    gated = ", ".join(f"case when composite is not null then {c} end as {c}" for c in [*SUBJECTS, "file"])
+    o["student_level_all_files"] = with_views(
+        f"""select k.*, b.test_date, {gated}, composite, {flags_sql('gated')}
+        from kept k left join top b on k.student_key = b.student_id""", "att", "mat", "kept",
+        extra={"every_": every, "top": top})
     o["student_level_fill"] = with_views("select * from fil", "fil")
     o["appeal_indicators"] = with_views("select * from ind", "ind")
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from acctcube.fixed_values import HIGHEST_LAYOUT, RETAKE_LAYOUT
+from acctcube.fixed_values import HIGHEST_LAYOUT, RETAKE_LAYOUT, SCORES
 from acctcube.sources import read_landed
 from acctcube.sources.readers import Field
 
@@ -174,10 +174,37 @@ def matched(spark: SparkSession, sf: str) -> DataFrame:
         _month_year("l_shipdate").alias("act_testdate"),
         (1 + F.col("l_partkey") % 36).cast("int").alias("act_english_highest"),
         (1 + F.col("l_suppkey") % 36).cast("int").alias("act_math_highest"),
+        (1 + (F.col("l_partkey") * 3 + F.col("l_suppkey")) % 36).cast("int").alias("act_reading_highest"),
+        (1 + (F.col("l_partkey") * 5 + F.col("l_suppkey")) % 36).cast("int").alias("act_science_highest"),
         (1 + F.col("l_extendedprice").cast("bigint") % 36).cast("int").alias("act_composite_highest"),
     )
 
 
+def highest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Attempts under the highest-score file's names."""
+    names = {"test_date": "act_testdate", **{c: f"act_{c}_highest" for c in SCORES}}
+    return (
+        attempts(spark, sf)
+        .withColumnsRenamed({"student_id": "unique_student_id", **names})
+        .drop("file", "test_location")
+    )
+
+
+def state_day_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Attempts with other scores under the state-day file's names."""
+    line = F.col("l_linenumber")
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("state_stud_id"),
+        _month_year("l_shipdate").alias("testdate"),
+        (1 + (F.col("l_partkey") + line) % 36).cast("int").alias("act_eng"),
+        (1 + (F.col("l_suppkey") + line) % 36).cast("int").alias("act_math"),
+        (1 + (F.col("l_partkey") * 2 + line) % 36).cast("int").alias("act_read"),
+        (1 + (F.col("l_suppkey") * 2 + line) % 36).cast("int").alias("act_sci"),
+        F.when(line != 5, (1 + F.col("l_quantity").cast("int") % 36).cast("int")).alias("act_composite"),
+        F.when(F.col("l_tax") == 0.08, "M").when(F.col("l_tax") != 0.0, "S").alias("test_location"),
+    )
+
+
 SHORT_LAYOUT = [("id", 1, 13, "bigint"), ("english", 14, 15, "int"), ("math", 16, 17, "int"), ("date", 18, 25, "text")]
 
 
