@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acctcube.fixed_values import BHN_CODES, RACE_LABELS, SCORES
+from acctcube.fixed_values import BHN_CODES, RACE_LABELS
 from acctcube.functions import in_set, is_true
 from acctcube.operators.measures import Summary
 
@@ -112,6 +112,13 @@ def _memberships(spec: Subgroups) -> Column:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
+def _level_name(kept: Column, keys: Sequence[str], levels: Sequence[Level]) -> Column:
+    """The level whose keys are exactly the ones kept in a grouping set."""
+    flags = lambda level: F.array(*[F.lit(k in level.keys) for k in keys])
+    names = [F.when(kept == flags(level), F.lit(level.name)) for level in levels]
+    return F.coalesce(*names) if keys else F.lit(levels[0].name)
+
+
 def cell_sums(df: DataFrame, summary: Summary, keys: Sequence[str]) -> DataFrame:
     """Students summed to cells."""
     return df.groupBy(*dict.fromkeys(keys)).agg(*summary.sums(summary.row_columns()))
@@ -139,7 +146,7 @@ def subgroup_sums(
             {gated: F.when(here, F.col(free)).otherwise(F.col(gated)) for gated, free in summary.ungated_pairs()}
         )
     long = long.select(
-        *keys, F.col("_group.kind").alias("_kind"), F.col("_group.name").alias("_name"), *sums
+        *keys, F.col("_group.kind").alias("_kind"), F.col("_group.name").alias("_name"), *sums, F.lit(1).alias("_real")
     )
     total = next((x.name for x in levels if not x.keys), None)
     fill = empty_totals and total is not None and bool(spec.fixed)
@@ -150,31 +157,20 @@ def subgroup_sums(
             *[F.lit(None).cast(types[k]).alias(k) for k in keys],
             F.lit("label").alias("_kind"),
             "_name",
-            *[F.lit(0).cast(types[n]).alias(n) for n in sums],
+            *[F.lit(0).cast(types[n]).alias(n) for n in [*sums, "_real"]],
         )
         long = long.unionByName(blank)
 
     group = ["_kind", "_name"]
-    if keys:
-        sets = [[F.col(k) for k in [*level.keys, *group]] for level in levels]
-        grouped = long.groupingSets(sets, *[F.col(k) for k in [*keys, *group]])
-        # one bit per key, set where the key is a total
-        bits = F.array(*[F.grouping(k) for k in keys])
-        out = grouped.agg(*summary.sums(), bits.alias("_totals"))
-        name = F.lit(None).cast("string")
-        for level in levels:
-            mask = [0 if k in level.keys else 1 for k in keys]
-            hit = [F.col("_totals")[i] == b for i, b in enumerate(mask)]
-            cond = hit[0]
-            for h in hit[1:]:
-                cond = cond & h
-            name = F.when(cond, F.lit(level.name)).otherwise(name)
-        out = out.withColumn("level", name).drop("_totals")
-    else:
-        out = long.groupBy(*group).agg(*summary.sums()).withColumn("level", F.lit(total))
-    if fill and "enrolled" in sums:
-        # only the blank rows can make a group without students
-        out = out.where((F.col("enrolled") > 0) | (F.col("level") == total))
+    sets = [[F.col(k) for k in [*level.keys, *group]] for level in levels]
+    kept = F.array(*[F.grouping(k) == 0 for k in keys]).alias("_kept")
+    out = long.groupingSets(sets, *[F.col(k) for k in [*keys, *group]]).agg(
+        *summary.sums(), F.max("_real").alias("_real"), kept
+    )
+    out = out.withColumn("level", _level_name(F.col("_kept"), keys, levels))
+    if fill:
+        # below the totals a group of blank rows only is not a group
+        out = out.where((F.col("_real") == 1) | (F.col("level") == total))
     label = F.when(F.col("_kind") == "label", F.col("_name")).otherwise(
         label_codes(F.col("_name"), spec.code_labels)
     )

@@ -82,6 +82,13 @@ def test_empty_subgroup_only_in_the_state_rows(students):
     assert none.where(F.col("subgroup") == "English Learners").count() == 0
 
 
+def test_blank_rows_never_make_a_district(students):
+    no_count = Summary([Measure("n_cr_math", F.col("n_cr_math"))], [])
+    cube = subgroup_cube(students, no_count)
+    assert cube.where("level <> 'state' and system = 0").count() == 0
+    assert cube.where("level = 'state' and subgroup = 'English Learners' and n_cr_math = 0").count() == 1
+
+
 def test_no_rows_at_all(students):
     cube = subgroup_cube(students.where("system < 0"), score_summary())
     assert sorted((r.level, r.enrolled) for r in cube.collect()) == [("state", 0)] * 9
