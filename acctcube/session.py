@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     if not sc.master.startswith("local"):
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir()
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
     return _local_dirs.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="acctcube-"))
 

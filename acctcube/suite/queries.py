@@ -74,13 +74,7 @@ def students(spark, sf):
 
 
 def students_2016(spark, sf):
-    day = t.attempts(spark, sf)
-    return co.student_level_fill(t.cohort(spark, sf), first_sittings(spark, sf), day)
-
-
-def first_sittings(spark, sf):
-    """Crosswalk with scores: the attempts of one file."""
-    return t.attempts(spark, sf).where(F.col("file") == "AF")
+    return co.student_level_fill(t.cohort(spark, sf), t.score_crosswalk(spark, sf), t.attempts(spark, sf))
 
 
 def approved(spark, sf):
@@ -503,7 +497,7 @@ QUERIES["nan_to_null"] = QUERIES.pop("nan_to_null_scores")
 @query
 def coalesce_scores(spark, sf):
     kept = co.graduates(t.cohort(spark, sf)).select("student_key")
-    first = best.best_record(first_sittings(spark, sf).select("student_id", *SCORES), "student_id", best.SUBJECT_FIRST)
+    first = best.best_record(t.score_crosswalk(spark, sf), "student_id", best.SUBJECT_FIRST)
     any_ = best.first_nonmissing(t.attempts(spark, sf), "student_id", best.SUBJECT_FIRST, SCORES)
     any_ = any_.withColumnsRenamed({c: f"day_{c}" for c in SCORES})
     both = jn.attach_unique(jn.attach_unique(kept, first, "student_key", "student_id"), any_, "student_key", "student_id")

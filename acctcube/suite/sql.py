@@ -160,10 +160,13 @@ VIEWS: dict[str, str] = {
     "fnn": "select student_id, " + ", ".join(
         f"first({c} order by {_ALT_ORDER}) filter (where {c} is not null) as {c}" for c in SCORES
     ) + " from att where test_location is distinct from 'M' group by student_id",
-    "alt_af": f"""select student_id, {', '.join(SCORES)} from (select *, row_number() over (partition by student_id
-      order by {_ALT_ORDER}) as rn from att where file = 'AF') where rn = 1""",
+    "xw": """select student_id, case when reading > 12 then english end as english, case when science > 12 then math end as math,
+      case when file <> 'RF' then reading end as reading, case when english > 3 then science end as science,
+      case when math > 18 then composite end as composite from att""",
+    "alt_xw": f"""select student_id, {', '.join(SCORES)} from (select *, row_number() over (partition by student_id
+      order by {_ALT_ORDER}) as rn from xw) where rn = 1""",
     "fil0": f"""select k.*, {', '.join(f'coalesce(x.{c}, d.{c}) as {c}' for c in SCORES)}
-      from kept k left join alt_af x on k.student_key = x.student_id left join fnn d on k.student_key = d.student_id""",
+      from kept k left join alt_xw x on k.student_key = x.student_id left join fnn d on k.student_key = d.student_id""",
     "fil": f"select *, {flags_sql('zero')} from fil0",
     "xsys": "select cast(n_nationkey + 1 as int) as system, n_name as system_name from nation where n_nationkey % 6 <> 0",
     "xsch": """select system, school, system_name, case when school <> 5 then 'School ' || school end as school_name
@@ -195,13 +198,14 @@ NEEDS: dict[str, list[str]] = {
     "app": ["trk"],
     "bst": ["dec"],
     "alt": ["att"],
-    "alt_af": ["att"],
+    "xw": ["att"],
+    "alt_xw": ["xw"],
     "fnn": ["att"],
     "stu": ["kept", "bst"],
     "apm": ["stu", "app"],
     "ind0": ["apm"],
     "ind": ["ind0"],
-    "fil0": ["kept", "alt_af", "fnn"],
+    "fil0": ["kept", "alt_xw", "fnn"],
     "fil": ["fil0"],
     "xsch": ["xsys"],
 }
@@ -642,9 +646,9 @@ def oracle() -> dict[str, str]:
         "select student_id, english, cast(composite as double) as composite from att", "att")
     o["coalesce_scores"] = with_views(
         f"""select student_key, {', '.join(f'coalesce(x.{c}, d.{c}) as {c}' for c in SCORES)}
-        from kept left join alt_af x on student_key = x.student_id
+        from kept left join alt_xw x on student_key = x.student_id
         left join (select student_id, {', '.join(f'first({c} order by {_ALT_ORDER}) filter (where {c} is not null) as {c}' for c in SCORES)}
-          from att group by student_id) d on student_key = d.student_id""", "kept", "alt_af")
+          from att group by student_id) d on student_key = d.student_id""", "kept", "alt_xw")
 
     o["benchmark_flags_gated"] = with_views(f"select *, {flags_sql('gated')} from att", "att")
     two = {k: BENCHMARKS[k] for k in ("english", "math")}

@@ -180,6 +180,19 @@ def matched(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def score_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids with scores of another maker; every score is missing in places."""
+    rows = attempts(spark, sf)
+    return rows.select(
+        "student_id",
+        F.when(F.col("reading") > 12, F.col("english")).alias("english"),
+        F.when(F.col("science") > 12, F.col("math")).alias("math"),
+        F.when(F.col("file") != "RF", F.col("reading")).alias("reading"),
+        F.when(F.col("english") > 3, F.col("science")).alias("science"),
+        F.when(F.col("math") > 18, F.col("composite")).alias("composite"),
+    )
+
+
 def highest_file(spark: SparkSession, sf: str) -> DataFrame:
     """Attempts under the highest-score file's names."""
     names = {"test_date": "act_testdate", **{c: f"act_{c}_highest" for c in SCORES}}

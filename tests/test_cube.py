@@ -89,6 +89,14 @@ def test_blank_rows_never_make_a_district(students):
     assert cube.where("level = 'state' and subgroup = 'English Learners' and n_cr_math = 0").count() == 1
 
 
+def test_missing_district_is_not_the_state(students):
+    rows = students.withColumn("system", F.when(F.col("system") != 3, F.col("system")))
+    cube = subgroup_cube(rows, score_summary()).where(F.col("subgroup") == "All Students")
+    got = {(r.level, r.system): r.enrolled for r in cube.where("level <> 'school'").collect()}
+    assert got["district", 0] == students.where("system = 3").count()
+    assert got["state", 0] == students.count()
+
+
 def test_no_rows_at_all(students):
     cube = subgroup_cube(students.where("system < 0"), score_summary())
     assert sorted((r.level, r.enrolled) for r in cube.collect()) == [("state", 0)] * 9

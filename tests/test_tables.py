@@ -157,6 +157,11 @@ def test_region_state_row_first(spark, sf):
     assert rows[0].enrolled > sum(r.enrolled for r in rows[1:])
 
 
+def test_sorted_release(spark, sf):
+    got = [(r.avg_composite is None, -(r.avg_composite or 0), r.system, r.school) for r in q.QUERIES["sort_release"](spark, sf).collect()]
+    assert got == sorted(got)
+
+
 def test_fixed_width_is_cut_by_bytes(frame):
     layout = [("name", 1, 6, "text"), ("score", 7, 8, "number"), ("id", 9, 11, "bigint")]
     df = frame([("Zoë  23  7",), ("Bob   xx12x",), ("short",)], "value string")
@@ -212,14 +217,17 @@ def test_fixed_width_file(spark, sf):
     assert df.where("science is not null").count() == 0
 
 
-def session_stub(master, **conf):
+def session_stub(master, checkpoint=None, **conf):
     core = SimpleNamespace(get=lambda k, d=None: conf.get(k, d))
-    sc = SimpleNamespace(master=master, applicationId="stub", getConf=lambda: core)
+    sc = SimpleNamespace(
+        master=master, applicationId="stub", getConf=lambda: core, getCheckpointDir=lambda: checkpoint
+    )
     return SimpleNamespace(conf=core, sparkContext=sc)
 
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(session_stub("yarn", **{"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
+    assert shared_dir(session_stub("yarn", "hdfs:///set/later")) == "hdfs:///set/later"
     with pytest.raises(RuntimeError):
         shared_dir(session_stub("yarn"))
     assert shared_dir(spark) == shared_dir(spark)
