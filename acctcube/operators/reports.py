@@ -76,12 +76,12 @@ def region_rollup(students: DataFrame, regions: DataFrame, state_label: str = "S
     """
     summary = missing_gender_summary()
     per_system = students.groupBy("system").agg(*summary.sums(summary.row_columns()))
-    named = per_system.join(regions.select("system", "region"), "system").where(
-        F.col("region").isNotNull() & (F.col("region") != "")
-    )
-    by_region = named.groupBy("region").agg(*summary.sums())
-    state = per_system.agg(*summary.sums()).withColumn("region", F.lit(None).cast("string"))
-    rows = rates_missing_gender(summary.finish(by_region.unionByName(state)))
+    # a left join, so that one set of district sums serves both kinds of rows
+    region = F.col("region")
+    named = per_system.join(regions.select("system", "region"), "system", "left")
+    grouped = named.groupingSets([[region], []], region).agg(*summary.sums(), F.grouping("region").alias("_state"))
+    sums = grouped.where((F.col("_state") == 1) | (region != "")).drop("_state")
+    rows = rates_missing_gender(summary.finish(sums))
     return (
         rows.orderBy(F.asc_nulls_first("region"))
         .withColumn("region", F.coalesce("region", F.lit(state_label)))
