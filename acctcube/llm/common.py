@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from acctcube.session import scratch_path
+
 #: ASCII white space, as the word rule has it.
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -33,3 +35,75 @@ def ascii_lower(text: Column) -> Column:
 def id_bucket(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; missing for a missing id."""
     return F.crc32(F.col(column).cast("string")) % n
+
+
+def small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint where it has at most ``max_rows`` rows, else as it is.
+
+    ``df`` should be landed and its rows of bounded width; the result is the same either way,
+    beyond the bound the planner shuffles.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Each row as one struct ``_row`` beside ``columns`` under their names with ``_`` before
+    them: whatever else the row holds, nothing in it can clash with an operator's columns."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    return docs.select(row, *(F.col(f"`{c}`").alias(f"_{c}") for c in columns))
+
+
+def spans(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches as ``array<struct<start, end, value>>``, in code points.
+
+    The pieces between matches and the matches alternate, so running sums of their lengths
+    are the positions. Sums go by blocks, which keeps a text with many matches far from
+    quadratic. ``pattern`` must not match an empty string.
+    """
+
+    def found(hits: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
+        steps = let(gaps, lambda g: F.transform(hits, lambda m, i: F.length(g[i]) + F.length(m)))
+        return let(
+            let(steps, _running),
+            lambda ends: F.transform(
+                hits,
+                lambda m, i: F.struct((ends[i] - F.length(m)).alias("start"), ends[i].alias("end"), m.alias("value")),
+            ),
+        )
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
+
+
+_BLOCK = 256
+
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda s, x: s + x)
+
+
+def _running(a: Column) -> Column:
+    """Running sums of an integer array."""
+    blocks = F.transform(
+        F.filter(a, lambda x, i: i % _BLOCK == 0), lambda x, b: _total(F.slice(a, b * _BLOCK + 1, _BLOCK))
+    )
+
+    def sums(s: Column) -> Column:
+        heads = F.transform(s, lambda x, b: _total(F.slice(s, 1, b)))
+        return let(
+            heads,
+            lambda h: F.transform(
+                a,
+                lambda x, i: h[F.floor(i / _BLOCK).cast("int")]
+                + _total(F.slice(a, i - i % _BLOCK + 1, i % _BLOCK + 1)),
+            ),
+        )
+
+    return let(blocks, sums)

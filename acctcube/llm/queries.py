@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import quality_rules
+from acctcube.llm import decontaminate, pii, quality_rules
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,3 +21,13 @@ def query(fn: Query) -> Query:
 @query
 def op3_quality_rules(spark, sf):
     return quality_rules.quality_rules(table(spark, sf, "documents"))
+
+
+@query
+def op10_pii(spark, sf):
+    return pii.find_pii(table(spark, sf, "documents"))
+
+
+@query
+def op9_benchmark_decontamination(spark, sf):
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

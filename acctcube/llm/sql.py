@@ -13,7 +13,7 @@ with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
 ), w as (
   select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
   from d
 ), g as (
   select r, i, w[i] as a, w[i + 1] as b, w[i + 2] as c
@@ -28,10 +28,10 @@ with d as (
     cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
     cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
     cast(coalesce(covered.n, 0) as bigint) as n_repeat_words,
-    len(list_filter(w, x -> lower(x) in ({_STOP}))) as stop,
-    len(list_filter(w, x -> upper(x) = x and lower(x) <> x and length(x) > 1)) as capital,
+    len(list_filter(w, lambda x: lower(x) in ({_STOP}))) as stop,
+    len(list_filter(w, lambda x: upper(x) = x and lower(x) <> x and length(x) > 1)) as capital,
     len(l) as n_lines,
-    cast(coalesce(list_max(list_transform(w, x -> length(x))), 0) as integer) as longest_word_chars
+    cast(coalesce(list_max(list_transform(w, lambda x: length(x))), 0) as integer) as longest_word_chars
   from w left join covered using (r)
 ), q as (
   select *,
