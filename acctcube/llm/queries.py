@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, pii, quality_rules
+from acctcube.llm import decontaminate, ngram_join, pii, quality_rules
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,8 @@ def op10_pii(spark, sf):
 @query
 def op9_benchmark_decontamination(spark, sf):
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op4_ngram_jaccard_join(spark, sf):
+    return ngram_join.ngram_components(table(spark, sf, "documents"))
