@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, ngram_join, pii, quality_rules
+from acctcube.llm import decontaminate, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +37,13 @@ def op9_benchmark_decontamination(spark, sf):
 @query
 def op4_ngram_jaccard_join(spark, sf):
     return ngram_join.ngram_components(table(spark, sf, "documents"))
+
+
+@query
+def op5_sentencepiece(spark, sf):
+    return sentencepiece_fst.digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op7_token_files(spark, sf):
+    return token_files.digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
