@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
+from acctcube.llm import decontaminate, language_id, license_scan, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,14 @@ def op5_sentencepiece(spark, sf):
 @query
 def op7_token_files(spark, sf):
     return token_files.digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_license_scan(spark, sf):
+    return license_scan.scan_licenses(table(spark, sf, "documents"))
+
+
+@query
+def op8_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
