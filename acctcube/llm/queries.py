@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, language_id, license_scan, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
+from acctcube.llm import decontaminate, html_extract, language_id, license_scan, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,9 @@ def op2_license_scan(spark, sf):
 def op8_language_id(spark, sf):
     docs = table(spark, sf, "documents")
     return language_id.identify(docs, language_id.fit(docs))
+
+
+@query
+def op1_html_extraction(spark, sf):
+    pages = table(spark, sf, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
