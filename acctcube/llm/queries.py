@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, html_extract, language_id, license_scan, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
+from acctcube.llm import decontaminate, html_extract, language_id, license_scan, lm_score, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op8_language_id(spark, sf):
 def op1_html_extraction(spark, sf):
     pages = table(spark, sf, "pages")
     return html_extract.extract(pages, html_extract.fit(pages))
+
+
+@query
+def op6_lm_score(spark, sf):
+    return lm_score.lm_scores(table(spark, sf, "documents"))
