@@ -12,10 +12,11 @@
    sets are in the same or neighbouring bands). Every set of a tile is paired with the tile's
    least member, and the links among these pairs give first components. Then sets that are not
    yet in the component of their tile's least member are paired with the members outside their
-   own component. A tile of near copies is linear, nothing is capped.
-4. Pairs pass a bound before their sets are touched: a signature has bit h mod 1024 flipped for
+   own component, under the bounds below. A tile of near copies is linear, nothing is capped.
+4. Pairs pass bounds before their sets are touched. A signature has bit h mod 1024 flipped for
    every hash, so signatures differ in no more bits than the sets differ in members, and the
-   overlap is at most (n + m - differing bits) / 2. What remains is counted on the sorted arrays.
+   overlap is at most (n + m - differing bits) / 2. The first common hash of a pair cannot stand
+   so late that too little follows. What remains is counted on the sorted arrays.
 
 Defined results:
 
@@ -44,6 +45,8 @@ MAX_FREQUENT = 200_000
 #: Frequent n-grams are looked for among this share of the hash values, the ones prefixes use.
 LOOK = 0.3
 BITS = 1024
+WORDS = BITS // 64
+_MARKS = [f"s{k}" for k in range(WORDS)]
 #: Pairs of two ids are small; at most so many ids are broadcast.
 MAX_BROADCAST = 500_000
 
@@ -168,8 +171,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent:
                 F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
             ),
         )
-        # overlap <= (n_a + n_b - differ) / 2, and it must reach percent / (100 + percent) of n_a + n_b
-        .where((100 + percent) * (F.col("n_a") + F.col("n_b") - F.col("differ")) >= 2 * percent * (F.col("n_a") + F.col("n_b")))
+        .where(_bound(F.col("n_a") + F.col("n_b"), F.col("differ"), percent))
         .select("a", "b")
     )
     likely = land(bounded, "likely")
@@ -196,6 +198,16 @@ def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent:
     )
 
 
+def _reach(overlap, size, percent):
+    """An overlap of two sets with ``size`` members together is enough."""
+    return (100 + percent) * overlap >= percent * size
+
+
+def _bound(size, differ, percent):
+    """The overlap that differing signature bits leave possible is enough."""
+    return _reach(size - differ, 2 * size, percent)
+
+
 def _pair(x, y, n_x, n_y, percent):
     """Both ids in order, where the sizes allow the similarity."""
     fits = (100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)) & (x != y)
@@ -213,7 +225,8 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     reps = sets.join(classes, F.col("_id") == F.col("rep"), "left_semi")
     # bands a factor 100/percent apart; float error at an edge is met by looking one band further
     band = F.floor(F.log(F.col("n_grams").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
-    entries = reps.select(F.explode("prefix").alias("h"), F.col("_id").alias("x"), F.col("n_grams").alias("n_x"), band.alias("band"))
+    entries = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.col("n_grams").alias("n_x"), band.alias("band"))
+    entries = entries.withColumn("pos", F.col("pos") + 1)
     shared = entries.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     entries = land(entries.join(shared, "h", "left_semi"), "entries")
 
@@ -225,24 +238,34 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     links = land(_linked(docs, first, reps, n, percent), "links")
     part = land(components(links), "parts")
 
-    # members outside the component of their tile's least member meet the others of the tile
+    # members outside the component of their tile's least member meet the others of the tile;
+    # n-grams whose tiles are of one component have nothing left to show
     home = entries.join(part.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("root", "x")).drop("root")
     home = land(home, "tiles")
+    mixed = home.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("h")
+    marks = reps.select(F.col("_id").alias("x"), *(F.col("bits")[k].alias(f"s{k}") for k in range(WORDS)))
+    home = land(home.join(mixed, "h", "left_semi").join(marks, "x"), "tiles")
     main = home.groupBy("h", "band").agg(F.min(F.struct("x", "c")).alias("p")).select("h", "band", F.col("p.c").alias("main"))
-    odd = home.join(main, ["h", "band"]).where("c <> main")
-    # tiles of neighbouring bands may both be of one component, each different from the other
-    step = main.select("h", F.col("band").alias("below"), F.col("main").alias("m0"))
-    apart = (
-        main.join(step.withColumn("band", F.col("below") + 1).drop("below"), ["h", "band"])
-        .where("main <> m0")
-        .select("h", "band")
+    # where the least members of neighbouring tiles differ, their whole tiles meet
+    below = main.select("h", (F.col("band") + 1).alias("band"), F.col("main").alias("m0"))
+    apart = main.join(below, ["h", "band"]).where("main <> m0").select("h", "band", F.lit(True).alias("apart"))
+    left = home.join(main, ["h", "band"]).join(apart, ["h", "band"], "left").where("c <> main or apart")
+    reach = left.select("h", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), "x", "n_x", "pos", "c", *_MARKS)
+    right = home.select("h", "band", *(F.col(k).alias(f"{k}_") for k in ("x", "n_x", "pos", "c", *_MARKS)))
+    fits, a, b = _pair(F.col("x"), F.col("x_"), F.col("n_x"), F.col("n_x_"), percent)
+    differ = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"{k}_"))) for k in _MARKS[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_"))))
+    size = F.col("n_x") + F.col("n_x_")
+    # all of it in the join's condition: what fails is never a row
+    can = (
+        fits
+        & (F.col("c") != F.col("c_"))
+        & _reach(1 + F.least(F.col("n_x") - F.col("pos"), F.col("n_x_") - F.col("pos_")), size, percent)
+        & _bound(size, differ, percent)
     )
-    edge = home.join(apart, ["h", "band"], "left_semi")
-    left = odd.select("h", "band", "x", "n_x", "c").unionByName(edge.select("h", "band", "x", "n_x", "c")).distinct()
-    reach = left.select("h", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), "x", "n_x", "c")
-    right = home.select("h", "band", F.col("x").alias("y"), F.col("n_x").alias("n_y"), F.col("c").alias("d"))
-    fits, a, b = _pair(F.col("x"), F.col("y"), F.col("n_x"), F.col("n_y"), percent)
-    rest = reach.join(right, ["h", "band"]).where(fits & (F.col("c") != F.col("d"))).select(a, b).distinct()
+    met = reach.withColumnRenamed("band", "to").join(
+        right.withColumnRenamed("h", "h_"), (F.col("h") == F.col("h_")) & (F.col("to") == F.col("band")) & can
+    )
+    rest = met.select(a, b).distinct()
     rest = land(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         more = land(_linked(docs, rest, reps, n, percent), "links")
