@@ -36,9 +36,9 @@ HEAD = 1 << 17
 OWN = 768
 SHARED = 64
 DIM = 16
-NOISE = 32
-BATCH = 4096
-RATE = 0.05
+NOISE = 16
+BATCH = 8192
+RATE = 0.1
 SMOOTH = 0.1
 END = b""  # no word is empty
 LN10 = float(np.log(10.0))
@@ -129,6 +129,37 @@ class _Classes(dict):
         return c
 
 
+class _Seen:
+    """Slots of the words met so far, with class and log count in arrays; begun anew when full."""
+
+    SIZE = 400_000
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+        self.clear(0)
+
+    def clear(self, at_least: int) -> None:
+        size = max(self.SIZE, at_least)
+        self.classes, self.known = np.zeros(size, np.int64), np.zeros(size, bool)
+        self.log_c = np.full(size, -1.0)
+        self.words: list[bytes] = []
+        self.slot: dict[bytes, int] = {}
+
+    def slots(self, words: list[bytes]) -> np.ndarray:
+        if len(self.slot) + len(words) > len(self.known):
+            self.clear(len(words))
+        slot = self.slot
+        for w in words:
+            if w not in slot:
+                slot[w] = k = len(self.words)
+                self.words.append(w)
+                self.classes[k] = self.v.class_of(w)
+                c = self.v.counts.get(w)
+                if c is not None:
+                    self.known[k], self.log_c[k] = True, np.log10(c + SMOOTH)
+        return np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
+
+
 class LogBilinear:
     """Parameters in one vector: A and B (a row more for the start of a text), Q, bias."""
 
@@ -205,9 +236,9 @@ def fit(docs: DataFrame, v: Vocabulary) -> LogBilinear:
         classes, n = _Classes(v), v.classes()
         model, rng, state, tokens = LogBilinear(v.unigram()), np.random.default_rng(5), {}, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
+            for at in range(0, batch.num_rows, 2500):
                 keys = []
-                for t in batch.column(0).slice(at, 1000).to_pylist():
+                for t in batch.column(0).slice(at, 2500).to_pylist():
                     ids = np.fromiter(map(classes.__getitem__, _words(t)), np.int64)
                     a, b = _contexts(ids, n)
                     keys.append((a * (n + 1) + b) * n + ids)
@@ -238,44 +269,47 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: LogBilinear)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, rest double, tail array<struct<word:string,tf:long>>"
 
     def run(batches):
-        from collections import Counter
-
         v, model = shared.value
-        classes, n, own = _Classes(v), v.classes(), len(v.own)
-        first, second, log_z = model.tables()
-        # what a word's share of its class is divided by; nothing for words with their own
-        share = np.zeros(n)
-        share[own:] = np.log10(v.class_tokens[own:] + SMOOTH * (v.class_kinds[own:] + 1))
-        log_own = np.zeros(n)
-        log_own[:own] = np.log10(v.class_tokens[:own] + SMOOTH)
-        log_head = {w: float(np.log10(c + SMOOTH)) for w, c in v.counts.items()}
-        tail_kind = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
+        n, own = v.classes(), len(v.own)
+        first, second, log_z = (x.astype(np.float32) for x in model.tables())
+        # what a word's share of its class is divided by; words with their own class: their count
+        share = np.concatenate([v.class_tokens[:own] + SMOOTH, v.class_tokens[own:] + SMOOTH * (v.class_kinds[own:] + 1)])
+        share = np.log10(share)
+        seen = _Seen(v)
+        tail_kind = pa.struct([("word", pa.string()), ("tf", pa.int64())])
         for batch in batches:
-            rows = []
-            for t in batch.column(2).to_pylist():
-                words = _words(t)
-                ids = np.fromiter(map(classes.__getitem__, words), np.int64, len(words))
-                a, b = _contexts(ids, n)
-                class_log10 = float((first[a, ids] + second[b, ids] - log_z[a, b]).sum()) / LN10
-                tail: Counter[bytes] = Counter()
-                log_c = known = 0
-                for w, tf in Counter(words).items():
-                    x = log_head.get(w)
-                    if x is None:
-                        tail[w] = tf
-                        log_c -= tf  # log10(0 + 0.1); the join adds what a count makes of it
-                    else:
-                        log_c += tf * x
-                        known += tf
-                # log c stands once in the base and once inside shared classes
-                rest = class_log10 - float(share[ids].sum()) - float(log_own[ids].sum())
-                rows.append((len(words), known, float(log_c), rest, [{"word": w.decode(), "tf": k} for w, k in tail.items()]))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail_kind)
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "log_c", "rest", "tail"],
-            )
+            # the tails of a few hundred texts are held at a time
+            for at in range(0, batch.num_rows, 500):
+                piece = batch.slice(at, 500)
+                rows, tail_words, tail_tf, ends = [], [], [], [0]
+                for t in piece.column(2).to_pylist():
+                    words = _words(t)
+                    slots = seen.slots(words)
+                    ids, known = seen.classes[slots], seen.known[slots]
+                    a, b = _contexts(ids, n)
+                    class_log10 = float((first[a, ids] + second[b, ids] - log_z[a, b]).sum(dtype=np.float64)) / LN10
+                    rare, tf = np.unique(slots[~known], return_counts=True)
+                    tail_words.extend(map(seen.words.__getitem__, rare.tolist()))
+                    tail_tf.append(tf)
+                    ends.append(ends[-1] + len(rare))
+                    # a word of the tail counts as log10(0 + 0.1); the join adds what its count makes of it;
+                    # log c stands once in the base and once in the share of the class
+                    log_c = float(seen.log_c[slots].sum())
+                    rows.append((len(words), int(known.sum()), log_c, class_log10 - float(share[ids].sum())))
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+                tails = pa.StructArray.from_arrays(
+                    [pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(np.concatenate(tail_tf), pa.int64())],
+                    fields=list(tail_kind),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column(0),
+                        piece.column(1),
+                        *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails),
+                    ],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "log_c", "rest", "tail"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").mapInArrow(run, schema)
     found = land(rows.withColumn("_rid", F.monotonically_increasing_id()), "scored")
