@@ -13,8 +13,8 @@
    least member, and the links among these pairs give first components. Then sets that are not
    yet in the component of their tile's least member are paired with the members outside their
    own component, under the bounds below. A tile of near copies is linear, nothing is capped.
-4. Pairs pass bounds before their sets are touched. A signature has bit h mod 1024 flipped for
-   every hash, so signatures differ in no more bits than the sets differ in members, and the
+4. Pairs pass bounds before their sets are touched. A signature has bit h mod 1024 (for large sets also
+   mod 16384) flipped for every hash, so signatures differ in no more bits than the sets differ in members, and the
    overlap is at most (n + m - differing bits) / 2. The first common hash of a pair cannot stand
    so late that too little follows. What remains is counted on the sorted arrays.
 
@@ -45,6 +45,8 @@ MAX_FREQUENT = 200_000
 #: Frequent n-grams are looked for among this share of the hash values, the ones prefixes use.
 LOOK = 0.3
 BITS = 1024
+#: Sets from this size on also carry a signature of WIDE bits: 1024 bits tell long texts no more apart.
+LARGE, WIDE = 1500, 1 << 14
 WORDS = BITS // 64
 _MARKS = [f"s{k}" for k in range(WORDS)]
 #: Pairs of two ids are small; at most so many ids are broadcast.
@@ -107,8 +109,14 @@ def _frequent(docs: DataFrame, n: int, look: float, max_frequent: int) -> np.nda
     return np.sort(found.column(0).to_numpy().view(np.uint64))
 
 
+def _signature(g: np.ndarray, bits: int) -> np.ndarray:
+    """A bit for every hash value modulo ``bits``, flipped by each hash of the set."""
+    flips = np.bincount((g % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
-    """``_id, n_grams, digest, prefix, bits`` of every row."""
+    """``_id, n_grams, digest, prefix, bits, wide`` of every row."""
 
     def one(batches):
         seen, last = WordHashes(), frequent.value
@@ -123,9 +131,8 @@ def _sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                     prefix = np.concatenate([g[~common], g[common]])[:keep] if common.any() else g[:keep]
                 else:
                     prefix = g[:keep]
-                flips = np.bincount((g % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                bits = np.packbits(flips.astype(np.uint8)).view(np.int64)
-                rows.append((size, xxhash.xxh3_128_digest(g.tobytes()), prefix.view(np.int64), bits))
+                wide = _signature(g, WIDE) if size >= LARGE else None
+                rows.append((size, xxhash.xxh3_128_digest(g.tobytes()), prefix.view(np.int64), _signature(g, BITS), wide))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -133,12 +140,13 @@ def _sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                     pa.array([r[1] for r in rows], pa.binary()),
                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
                     pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                    pa.array([r[4] for r in rows], pa.list_(pa.int64())),
                 ],
-                ["_id", "n_grams", "digest", "prefix", "bits"],
+                ["_id", "n_grams", "digest", "prefix", "bits", "wide"],
             )
 
     return docs.select("_id", "_text").mapInArrow(
-        one, "_id long, n_grams long, digest binary, prefix array<long>, bits array<long>"
+        one, "_id long, n_grams long, digest binary, prefix array<long>, bits array<long>, wide array<long>"
     )
 
 
@@ -159,20 +167,23 @@ def _grams(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(one, "_id long, grams binary")
 
 
+def _differ(name: str):
+    """Bits in which the signatures of a pair differ."""
+    parts = F.zip_with(f"{name}_a", f"{name}_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(parts, F.lit(0), lambda s, x: s + x)
+
+
 def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``a > b`` that reach the similarity: bound first, then the exact count."""
-    side = reps.select("_id", "n_grams", "bits")
-    bounded = (
-        pairs.join(side.select(F.col("_id").alias("a"), F.col("n_grams").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .join(side.select(F.col("_id").alias("b"), F.col("n_grams").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-        .withColumn(
-            "differ",
-            F.aggregate(
-                F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-            ),
+    def side(of: str) -> DataFrame:
+        return reps.select(
+            F.col("_id").alias(of), *(F.col(c).alias(f"{c}_{of}") for c in ("n_grams", "bits", "wide"))
         )
-        .where(_bound(F.col("n_a") + F.col("n_b"), F.col("differ"), percent))
-        .select("a", "b")
+
+    size = F.col("n_grams_a") + F.col("n_grams_b")
+    wide = F.col("wide_a").isNull() | F.col("wide_b").isNull() | _bound(size, _differ("wide"), percent)
+    bounded = (
+        pairs.join(side("a"), "a").join(side("b"), "b").where(_bound(size, _differ("bits"), percent) & wide).select("a", "b")
     )
     likely = land(bounded, "likely")
     ids = land(likely.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "likely-ids")
