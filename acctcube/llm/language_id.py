@@ -73,7 +73,7 @@ class Model:
 
     def _rows(self, counts: list[list[int]], sizes: np.ndarray, kinds: int) -> np.ndarray:
         """Smoothed log frequencies less their mean, which no language gains from."""
-        counts = np.array(counts, float).reshape(-1, len(self.langs))
+        counts = np.array(counts, float).reshape(len(counts), len(self.langs))
         rows = np.log((counts + 0.1) / (sizes + 0.1 * (kinds + 1)))
         return rows - rows.mean(axis=1, keepdims=True) if len(self.langs) else rows
 

@@ -33,7 +33,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
 SPACE = "▁"
-CACHE = 500_000
+CACHE = 300_000
 LONGEST_CACHED = 48
 FALLBACK = -1e6  # score of a character written as bytes: below every piece
 BPE = 2  # model kind in the file
