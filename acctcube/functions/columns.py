@@ -1,4 +1,4 @@
-"""Column-name helpers: choose, order and rename columns by pattern."""
+"""Column-name helpers: choose, order and rename columns by pattern, upper and lower case alike."""
 
 from __future__ import annotations
 
@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def starts_with(df: DataFrame, *prefixes: str) -> list[str]:
-    return [c for c in df.columns if c.startswith(prefixes)]
+    return [c for c in df.columns if c.lower().startswith(tuple(p.lower() for p in prefixes))]
 
 
 def ends_with(df: DataFrame, *suffixes: str) -> list[str]:
-    return [c for c in df.columns if c.endswith(suffixes)]
+    return [c for c in df.columns if c.lower().endswith(tuple(s.lower() for s in suffixes))]
 
 
 def contains(df: DataFrame, *parts: str) -> list[str]:
-    return [c for c in df.columns if any(p in c for p in parts)]
+    return [c for c in df.columns if any(p.lower() in c.lower() for p in parts)]
 
 
 def between(df: DataFrame, first: str, last: str) -> list[str]:

@@ -17,7 +17,7 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def round_even(x: Column, digits: int = 0) -> Column:
-    """Round to the nearest multiple of 10**-digits, exact ties to even.
+    """Round to the nearest whole number or tenth, exact ties to even.
 
     The stored binary value decides, not its decimal print-out: 247/20 prints as
     12.35 but is stored a little lower, so one digit gives 12.3.  (``bround``
@@ -26,9 +26,17 @@ def round_even(x: Column, digits: int = 0) -> Column:
     x = x.cast("double")
     if digits == 0:
         return F.rint(x)
-    scale = F.lit(float(10**digits))
+    if digits != 1:
+        raise ValueError("digits must be 0 or 1")
     whole = F.floor(x)
-    return (whole * scale + F.rint((x - whole) * scale)) / scale
+    # ten times the fraction as a rounded sum and its exact error: at what looks like a tie
+    # the sign of the error tells on which side the stored value lies
+    a, b = (x - whole) * 8.0, (x - whole) * 2.0
+    s = a + b
+    error = (a - (s - (s - a))) + (b - (s - a))
+    tie = s - F.floor(s) == 0.5
+    tenths = F.when(tie & (error > 0), F.floor(s) + 1.0).when(tie & (error < 0), F.floor(s) + 0.0).otherwise(F.rint(s))
+    return (whole * 10.0 + tenths) / 10.0
 
 
 def round_up(x: Column, digits: int = 0) -> Column:

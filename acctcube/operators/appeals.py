@@ -14,7 +14,7 @@ from acctcube.fixed_values import (
     LOW_TOTAL,
     SUBJECTS,
 )
-from acctcube.functions import flag, if_else, pick
+from acctcube.functions import flag, if_else, pick, to_number
 from acctcube.functions.columns import contains, ends_with
 from acctcube.operators.cohort import benchmark_flags
 
@@ -26,11 +26,16 @@ def approved_appeals(
     approved: str = "Approved",
     key: str = "student_key",
 ) -> DataFrame:
-    """Approved rows with an id: key, appealed scores and the other test's columns as numbers."""
+    """Approved rows with an id: key, appealed scores and the other test's columns as numbers.
+
+    The tracker is a spreadsheet: numbers may be text such as ``24.0``, and headers come in any
+    case; the result's are lower-case.
+    """
     kept = tracker.where(F.col(student).isNotNull() & (F.col(status) == approved))
     names = pick(ends_with(tracker, "_highest"), contains(tracker, "sat"))
     return kept.select(
-        F.col(student).try_cast("bigint").alias(key), *[F.col(c).try_cast("int").alias(c) for c in names]
+        to_number(F.col(student).cast("string"), "bigint").alias(key),
+        *[to_number(F.col(c).cast("string"), "int").alias(c.lower()) for c in names],
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from acctcube.fixed_values import BENCHMARKS, SCORES
-from acctcube.functions import differs, flag, if_else, is_true, month_year_code
+from acctcube.functions import differs, flag, if_else, is_true, month_year_code, to_number
 from acctcube.operators.best import SCORE_FIRST, SUBJECT_FIRST, Order, best_record, first_nonmissing
 from acctcube.operators.joins import KeyProfile, attach_unique, key_profile
 
@@ -41,7 +41,7 @@ def stack_attempts(parts: Sequence[tuple[DataFrame, Mapping[str, str], str]]) ->
 
 def decode_attempts(attempts: DataFrame, key: str, date: str = "test_date") -> DataFrame:
     """Packed month-year code to a date, id to a number."""
-    return attempts.withColumns({date: month_year_code(F.col(date)), key: F.col(key).try_cast("bigint")})
+    return attempts.withColumns({date: month_year_code(F.col(date)), key: to_number(F.col(key).cast("string"), "bigint")})
 
 
 def benchmark_flags(

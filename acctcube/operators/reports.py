@@ -42,7 +42,7 @@ def missing_id_report(
         to_number(F.col(site_code), "bigint").alias("_code"),
         split_code(F.col(local_code), 0).alias("system"),
     ).where(F.col("_code").isNotNull())
-    per_site = tests.groupBy(F.col(test_code).cast("bigint").alias("_test_code")).agg(
+    per_site = tests.groupBy(to_number(F.col(test_code).cast("string"), "bigint").alias("_test_code")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(student).isNull()).alias("n_missing_id")
     )
     return (
@@ -50,7 +50,7 @@ def missing_id_report(
         .groupBy("system")
         .agg(F.sum("n").alias("n"), F.sum("n_missing_id").alias("n_missing_id"))
         .withColumn("pct", round_even(pct(F.col("n_missing_id"), F.col("n")), 1))
-        .orderBy(F.desc_nulls_last("pct"))
+        .orderBy(F.desc_nulls_last("pct"), "system")
     )
 
 
@@ -72,15 +72,14 @@ def region_rollup(students: DataFrame, regions: DataFrame, state_label: str = "S
     """Counts per region with the state row first.
 
     Students are summed per district before the region is attached; districts
-    without a region appear in the state row only.
+    without a region appear in the state row only.  The state row does not depend on the
+    regions; a district listed twice counts in each of its regions.
     """
     summary = missing_gender_summary()
     per_system = students.groupBy("system").agg(*summary.sums(summary.row_columns()))
-    # a left join, so that one set of district sums serves both kinds of rows
-    region = F.col("region")
-    named = per_system.join(regions.select("system", "region"), "system", "left")
-    grouped = named.groupingSets([[region], []], region).agg(*summary.sums(), F.grouping("region").alias("_state"))
-    sums = grouped.where((F.col("_state") == 1) | (region != "")).drop("_state")
+    named = per_system.join(regions.select("system", "region"), "system").where(F.col("region") != "")
+    state = per_system.agg(*summary.sums()).withColumn("region", F.lit(None).cast(regions.schema["region"].dataType))
+    sums = named.groupBy("region").agg(*summary.sums()).unionByName(state)
     rows = rates_missing_gender(summary.finish(sums))
     return (
         rows.orderBy(F.asc_nulls_first("region"))

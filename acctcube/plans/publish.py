@@ -13,6 +13,12 @@ from acctcube.plans.files import post_appeals_cube, post_appeals_students, stude
 from acctcube.sources import save_table, write_csv
 
 
+def _exists(df: DataFrame, path: str) -> bool:
+    jvm = df.sparkSession._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(target)
+
+
 def publish(
     cohort: DataFrame,
     attempts: DataFrame,
@@ -20,9 +26,12 @@ def publish(
     school_names: DataFrame,
     system_names: DataFrame,
     out: str,
+    mode: str = "overwrite",
 ) -> Mapping[str, str]:
     """Write the student file, the base file and the three releases below ``out``.
 
+    A second run replaces the files of the first; ``mode="error"`` refuses before anything is written.
+
     The student table and the cube are landed as tables before they are read again:
     the attempts are shuffled once for all outputs, and a lost executor costs a
     re-read, not a recomputation of the joins.
@@ -30,18 +39,23 @@ def publish(
     paths = {n: f"{out}/{n}" for n in ("students", "cube", "student_file", "base_file")}
     paths |= {f"release_{level}": f"{out}/release_{level}" for level in ("state", "district", "school")}
 
+    if mode == "error":
+        taken = [p for p in paths.values() if _exists(cohort, p)]
+        if taken:
+            raise FileExistsError(", ".join(taken))
+
     students = save_table(
         post_appeals_students(student_level(cohort, attempts), appeals), paths["students"]
     )
-    write_csv(student_file(students), paths["student_file"])
+    write_csv(student_file(students), paths["student_file"], mode=mode)
 
     cube = save_table(post_appeals_cube(students), paths["cube"])
-    write_csv(label_names(cube.drop("level"), school_names), paths["base_file"])
+    write_csv(label_names(cube.drop("level"), school_names), paths["base_file"], mode=mode)
 
     def level(name: str) -> DataFrame:
         return external_layout(cube.where(F.col("level") == name))
 
-    write_csv(release_state(level("state")), paths["release_state"])
-    write_csv(release_district(level("district"), system_names), paths["release_district"])
-    write_csv(release_school(level("school"), school_names), paths["release_school"])
+    write_csv(release_state(level("state")), paths["release_state"], mode=mode)
+    write_csv(release_district(level("district"), system_names), paths["release_district"], mode=mode)
+    write_csv(release_school(level("school"), school_names), paths["release_school"], mode=mode)
     return paths

@@ -8,21 +8,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from acctcube.functions import to_number
+from acctcube.sources.writers import BOM
 
 # (name, first byte, last byte, "text" | "number" | a Spark type name)
 Field = tuple[str, int, int, str]
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
-    """Delimited text with a header.  The schema is given, never inferred; bad cells become missing."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """Delimited text, its columns found by their names in the header.
+
+    The schema says which columns are wanted and their types, in any order; others are not read.
+    Types are never inferred, a cell that does not hold its type becomes missing, and a
+    wanted column that the header lacks is an error.  All files below ``path`` share a header.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # without inference only the header line is looked at; all columns are text
+    cells = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    cells = cells.toDF(*[c.removeprefix(BOM) for c in cells.columns])
+    names = {c.lower(): c for c in cells.columns}
+    missing = [f.name for f in wanted if f.name.lower() not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    return cells.select(*[F.col(f"`{names[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

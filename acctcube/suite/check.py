@@ -14,7 +14,14 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame
 
-SPARK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+SPARK_TYPES = {
+    "boolean": "BOOLEAN",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+}
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:

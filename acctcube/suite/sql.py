@@ -33,8 +33,11 @@ def q(text: str) -> str:
 
 
 def even1(x: str) -> str:
-    """One digit, exact ties to even."""
-    return f"(floor({x}) * 10 + round_even(({x} - floor({x})) * 10, 0)) / 10"
+    """One digit, exact ties to even, in whole multiples of 2**-56, which hold every stored fraction near a tie."""
+    tenth = f"cast(({x} - floor({x})) * {2.0**56:.1f} as hugeint) * 10"
+    down, rest = f"({tenth} // {2**56})", f"({tenth} % {2**56})"
+    up = f"({rest} > {2**55} or ({rest} = {2**55} and {down} % 2 = 1))"
+    return f"(floor({x}) * 10 + cast({down} as double) + case when {up} then 1.0 else 0.0 end) / 10"
 
 
 def even0(x: str) -> str:
@@ -554,7 +557,7 @@ def oracle() -> dict[str, str]:
         f"""select coalesce(a.system, b.system) as system, coalesce(a.gender, b.gender) as gender, a.n as n_x,
         {even1('m')} as avg_high, b.n as n_y
         from (select system, gender, count(*) as n from stu group by all) a
-        full join (select system, gender, avg(composite) as m, count(*) as n from stu where composite >= 21 group by all) b
+        full join (select system, gender, avg(composite) as m, count(*) as n from stu where composite is not null group by all) b
         on a.system is not distinct from b.system and a.gender is not distinct from b.gender""", "stu")
     o["merge_keep_using"] = with_views(
         """select k.student_key, k.system, k.school, a.* exclude (student_id)
@@ -562,7 +565,7 @@ def oracle() -> dict[str, str]:
     o["merge_status"] = with_views(
         """select coalesce(student_id, student_key) as student_key, composite, system,
         case when student_id is null then 2 when student_key is null then 1 else 3 end as merge_status
-        from (select student_id, composite from bst where composite >= 19) full join kept on student_id = student_key""",
+        from (select student_id, composite from bst) full join kept on student_id = student_key""",
         "bst", "kept")
 
     o["agg_district"] = with_views(rounded(group_sql(avg_sql() | score_sql(), "stu", ["system"])), "stu")

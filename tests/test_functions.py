@@ -47,13 +47,13 @@ def test_membership_and_truth(frame):
 
 
 def stored_half_even(x, k):
-    """Brute force on the exact binary value, and how far the value is from a tie."""
+    """Brute force on the exact binary value."""
     exact, scale = Fraction(x), 10**k
     low = math.floor(exact * scale)
     gap = exact * scale - low
     if gap > Fraction(1, 2) or (gap == Fraction(1, 2) and low % 2):
         low += 1
-    return low / scale, abs(gap - Fraction(1, 2))
+    return low / scale
 
 
 def test_round_even_edges(frame):
@@ -72,10 +72,13 @@ def test_round_even_all_ratios(frame):
     for k in (0, 1):
         got = column(df, round_even(F.col("x"), k))
         for (x,), value in zip(rows, got, strict=True):
-            expect, from_tie = stored_half_even(x, k)
-            # closer than double arithmetic can tell, but not a tie
-            if from_tie == 0 or from_tie > 1e-15:
-                assert value == expect, x
+            assert value == stored_half_even(x, k), x
+
+
+def test_round_even_next_to_ties(frame):
+    rows = [0.05, 0.15, 0.25, 0.35, 0.45, 0.75, 1.85, 1.95, 12.35] + [100.0 * n / 4000 for n in range(4001)]
+    df = frame([(x,) for x in rows], "x double")
+    assert column(df, round_even(F.col("x"), 1)) == [stored_half_even(x, 1) for x in rows]
 
 
 def test_pct_zero_whole(frame):

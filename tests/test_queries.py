@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from acctcube.suite.check import compare, connect
+from acctcube.suite.queries import QUERIES
+from acctcube.suite.sql import oracle
 
-SQL = entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,8 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

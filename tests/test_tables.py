@@ -195,6 +195,15 @@ def test_bad_csv_cells_become_missing(spark, frame):
     assert [tuple(r) for r in read_csv(spark, path, "a int, b int").collect()] == [(None, 1), (2, None)]
 
 
+def test_csv_columns_are_found_by_name(spark, frame):
+    path = scratch_path(spark, "named")
+    frame([("school,System,extra,student_key",), ("7,1,zz,100",)], "value string").coalesce(1).write.text(path)
+    rows = read_csv(spark, path, "student_key bigint, system int, school int").collect()
+    assert [tuple(r) for r in rows] == [(100, 1, 7)]
+    with pytest.raises(ValueError, match="gender"):
+        read_csv(spark, path, "gender string")
+
+
 def test_split_keeps_key_and_all_rows(spark, frame, plan):
     # one key holds two thirds of the rows
     df = frame([(1, i) for i in range(2000)] + [(i % 50 + 2, i) for i in range(1000)], "system int, v int")
