@@ -143,6 +143,13 @@ class PieceTransducer:
                 if len(parts) == 1 and halves:
                     self.halves[piece] = halves
 
+        # prefixes of pieces, true where they are pieces, and for each piece the stable ones that begin it
+        stable = self.alphabet & self.score.keys() | self.halves.keys()
+        self.walk = dict.fromkeys(self.begins, False) | dict.fromkeys(self.score, True)
+        self.options = {
+            p: tuple(q for q in (p[:k] for k in range(len(p), 0, -1)) if q in stable) for p in self.score
+        }
+
     def _stays_apart(self, left: str, right: str) -> bool:
         """Merging ``left + right`` gives the two back: undo their merges, the later one first, and
         see whether a merge across the border would have come before."""
@@ -159,19 +166,6 @@ class PieceTransducer:
             else:
                 return True
 
-    def _may_follow(self, left: str | None, piece: str) -> bool:
-        """The arc for ``piece`` after ``left`` is in the machine of stable pairs."""
-        if len(piece) > 1 and piece not in self.halves:
-            return False
-        if left is None:
-            return True
-        known = self.pairs.get((left, piece))
-        if known is None:
-            if len(self.pairs) >= CACHE:
-                self.pairs.clear()
-            known = self.pairs[left, piece] = self._stays_apart(left, piece)
-        return known
-
     def _arcs(self, part: str, i: int) -> list[str]:
         """Pieces that begin at ``i``, the longest last; a character outside the pieces by itself."""
         if part[i] not in self.alphabet:
@@ -199,27 +193,49 @@ class PieceTransducer:
             at = best[at][1]
         return pieces[::-1]
 
+    def _longest(self, part: str, i: int) -> tuple[str, ...]:
+        """Stable pieces that begin at ``i``, the longest first."""
+        walk, found, j, n = self.walk, None, i + 1, len(part)
+        while j <= n:
+            p = part[i:j]
+            kind = walk.get(p)
+            if kind is None:
+                break
+            if kind:
+                found = p
+            j += 1
+        return self.options[found] if found else (part[i],) if part[i] not in self.alphabet else ()
+
     def _only(self, part: str) -> list[str]:
         """The path that the machine of stable pairs leaves, which is the shortest as no other has a
         finite weight: depth first, long pieces first. A position that led nowhere stays closed:
         only one path leads to it."""
-        n, at, pieces, closed = len(part), 0, [], set()
-        arcs = [self._arcs(part, 0)]
+        n, at, left, pieces, closed, pairs = len(part), 0, None, [], set(), self.pairs
+        arcs = [iter(self._longest(part, 0))]
         while at < n:
-            left = pieces[-1] if pieces else None
-            while arcs[-1]:
-                p = arcs[-1].pop()
-                if at + len(p) not in closed and self._may_follow(left, p):
-                    pieces.append(p)
-                    at += len(p)
-                    arcs.append(self._arcs(part, at) if at < n else [])
-                    break
+            for p in arcs[-1]:
+                if closed and at + len(p) in closed:
+                    continue
+                if left is not None:
+                    apart = pairs.get((left, p))
+                    if apart is None:
+                        if len(pairs) >= CACHE:
+                            pairs.clear()
+                        apart = pairs[left, p] = self._stays_apart(left, p)
+                    if not apart:
+                        continue
+                pieces.append(p)
+                left = p
+                at += len(p)
+                arcs.append(iter(self._longest(part, at)) if at < n else ())
+                break
             else:
                 if not pieces:  # characters that only longer pieces hold
                     return self._merged(part)
                 closed.add(at)
                 arcs.pop()
                 at -= len(pieces.pop())
+                left = pieces[-1] if pieces else None
         return pieces
 
     def _ids(self, piece: str) -> list[int]:
