@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -57,8 +58,9 @@ class WordIds(dict):
         if len(self) + len(new) > CACHE:
             self.clear()
             new = list(words)
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        # the fast call leaves offsets out
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        self.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(new, (e.ids for e in found), strict=True))
 
 
 @functools.cache
