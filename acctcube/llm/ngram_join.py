@@ -49,6 +49,8 @@ BITS = 1024
 LARGE, WIDE = 1500, 1 << 14
 WORDS = BITS // 64
 _MARKS = [f"s{k}" for k in range(WORDS)]
+#: Words whose hashes a task remembers, and rows it holds as Python objects at a time.
+MAX_WORDS, SLICE = 200_000, 1000
 #: Pairs of two ids are small; at most so many ids are broadcast.
 MAX_BROADCAST = 500_000
 
@@ -60,7 +62,7 @@ class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= MAX_WORDS:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -84,8 +86,10 @@ def gram_hashes(text: str | None, n: int, seen: WordHashes) -> np.ndarray:
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    for b in batches:
-        yield b.column(0).to_pylist(), b.column(1).to_pylist()
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            b = whole.slice(at, SLICE)
+            yield b.column(0).to_pylist(), b.column(1).to_pylist()
 
 
 def _frequent(docs: DataFrame, n: int, look: float, max_frequent: int) -> np.ndarray:
@@ -173,26 +177,25 @@ def _differ(name: str):
     return F.aggregate(parts, F.lit(0), lambda s, x: s + x)
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``a > b`` that reach the similarity: bound first, then the exact count."""
+def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent: int, bounded: bool = False) -> DataFrame:
+    """The pairs ``a > b`` that reach the similarity: bound first, then the exact count.
+    ``bounded``: the pairs have passed the bound of the small signatures."""
+    signs = ("n_grams", "wide") if bounded else ("n_grams", "bits", "wide")
+
     def side(of: str) -> DataFrame:
-        return reps.select(
-            F.col("_id").alias(of), *(F.col(c).alias(f"{c}_{of}") for c in ("n_grams", "bits", "wide"))
-        )
+        return reps.select(F.col("_id").alias(of), *(F.col(c).alias(f"{c}_{of}") for c in signs))
 
     size = F.col("n_grams_a") + F.col("n_grams_b")
     wide = F.col("wide_a").isNull() | F.col("wide_b").isNull() | _bound(size, _differ("wide"), percent)
-    bounded = (
-        pairs.join(side("a"), "a").join(side("b"), "b").where(_bound(size, _differ("bits"), percent) & wide).select("a", "b")
-    )
-    likely = land(bounded, "likely")
+    can = wide if bounded else _bound(size, _differ("bits"), percent) & wide
+    likely = land(pairs.join(side("a"), "a").join(side("b"), "b").where(can).select("a", "b"), "likely")
     ids = land(likely.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "likely-ids")
     # the text of one row per id that stands for its set
     texts = docs.join(small(ids, MAX_BROADCAST), "_id", "left_semi")
     grams = land(_grams(texts, n), "grams")
 
     def exact(batches):
-        for b in batches:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             pairs = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
             hit = []
             for x, y in pairs:
@@ -219,6 +222,10 @@ def _bound(size, differ, percent):
     return _reach(size - differ, 2 * size, percent)
 
 
+def _bit(band):
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (band % 64).cast("int"))
+
+
 def _pair(x, y, n_x, n_y, percent):
     """Both ids in order, where the sizes allow the similarity."""
     fits = (100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)) & (x != y)
@@ -235,17 +242,22 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     )
     reps = sets.join(classes, F.col("_id") == F.col("rep"), "left_semi")
     # bands a factor 100/percent apart; float error at an edge is met by looking one band further
-    band = F.floor(F.log(F.col("n_grams").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
-    entries = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.col("n_grams").alias("n_x"), band.alias("band"))
-    entries = entries.withColumn("pos", F.col("pos") + 1)
+    band = F.floor(F.log(F.col("n_x").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
+    # size and place travel in one number
+    entries = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.shiftleft("n_grams", 32).alias("at"))
+    entries = entries.select("h", "x", F.col("at").bitwiseOR(F.col("pos") + 1).alias("at"))
     shared = entries.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    entries = land(entries.join(shared, "h", "left_semi"), "entries")
+    entries = entries.join(shared, "h", "left_semi").select(
+        "h", "x", F.shiftright("at", 32).alias("n_x"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
+    )
+    entries = land(entries.withColumn("band", band), "entries")
 
-    # the least member of each tile, seen from its own band and from its neighbours
+    # the least member of each tile, seen from its own band and from its neighbours: a hash has few bands
     least = entries.groupBy("h", "band").agg(F.min(F.struct("x", "n_x")).alias("p"))
-    offered = least.select("h", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), F.col("p.x").alias("y"), F.col("p.n_x").alias("n_y"))
+    offered = least.select(F.col("h").alias("h_"), F.col("band").alias("to"), F.col("p.x").alias("y"), F.col("p.n_x").alias("n_y"))
     fits, a, b = _pair(F.col("x"), F.col("y"), F.col("n_x"), F.col("n_y"), percent)
-    first = land(entries.join(offered, ["h", "band"]).where(fits).select(a, b).distinct(), "pairs")
+    near = (F.col("h") == F.col("h_")) & (F.abs(F.col("band") - F.col("to")) <= 1) & fits
+    first = land(entries.join(offered, near).select(a, b).distinct(), "pairs")
     links = land(_linked(docs, first, reps, n, percent), "links")
     part = land(components(links), "parts")
 
@@ -253,15 +265,22 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     # n-grams whose tiles are of one component have nothing left to show
     home = entries.join(part.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("root", "x")).drop("root")
     home = land(home, "tiles")
-    mixed = home.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("h")
+    # the bands that a hash has members in, as bits modulo 64
+    mixed = home.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bit_or(_bit(F.col("band"))).alias("bands"))
+    mixed = mixed.where("lo <> hi").select("h", "bands")
     marks = reps.select(F.col("_id").alias("x"), *(F.col("bits")[k].alias(f"s{k}") for k in range(WORDS)))
-    home = land(home.join(mixed, "h", "left_semi").join(marks, "x"), "tiles")
+    home = land(home.join(mixed, "h").join(marks, "x"), "tiles")
     main = home.groupBy("h", "band").agg(F.min(F.struct("x", "c")).alias("p")).select("h", "band", F.col("p.c").alias("main"))
     # where the least members of neighbouring tiles differ, their whole tiles meet
     below = main.select("h", (F.col("band") + 1).alias("band"), F.col("main").alias("m0"))
     apart = main.join(below, ["h", "band"]).where("main <> m0").select("h", "band", F.lit(True).alias("apart"))
     left = home.join(main, ["h", "band"]).join(apart, ["h", "band"], "left").where("c <> main or apart")
-    reach = left.select("h", F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), "x", "n_x", "pos", "c", *_MARKS)
+    # a band without members is not sent anything
+    there = F.filter(
+        F.array(*(F.col("band") + k for k in (-1, 0, 1))),
+        lambda k: (k >= 0) & (F.col("bands").bitwiseAND(_bit(k)) != 0),
+    )
+    reach = left.select("h", F.explode(there).alias("band"), "x", "n_x", "pos", "c", *_MARKS)
     right = home.select("h", "band", *(F.col(k).alias(f"{k}_") for k in ("x", "n_x", "pos", "c", *_MARKS)))
     fits, a, b = _pair(F.col("x"), F.col("x_"), F.col("n_x"), F.col("n_x_"), percent)
     differ = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"{k}_"))) for k in _MARKS[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_"))))
@@ -279,7 +298,7 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     rest = met.select(a, b).distinct()
     rest = land(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more = land(_linked(docs, rest, reps, n, percent), "links")
+        more = land(_linked(docs, rest, reps, n, percent, bounded=True), "links")
         links = links.unionByName(more)
         part = land(components(links), "parts") if not more.isEmpty() else part
     return (
