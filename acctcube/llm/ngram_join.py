@@ -4,7 +4,8 @@
    share a hash with a probability below 1e-10 for sets of 20,000). Equal sets collapse to the
    least id: copies are one set from here on.
 2. A set of n hashes in a common order can reach the similarity only with sets that share one of
-   its first ``n - ceil(t n) + 1`` hashes. The order puts frequent n-grams last, so a passage in
+   its first ``n - ceil(t n) + 1`` hashes; for the shorter set of the two the hash is among the
+   first ``n - ceil(2t/(1 + t) n) + 1``, so hashes that no set has so early are left out. The order puts frequent n-grams last, so a passage in
    many documents does not bring them together. Frequent is a share of all n-grams: at most
    ``MAX_FREQUENT`` of them can reach it, whatever the corpus; that list is broadcast. It only
    chooses the order, any order gives the same links.
@@ -243,10 +244,15 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     reps = sets.join(classes, F.col("_id") == F.col("rep"), "left_semi")
     # bands a factor 100/percent apart; float error at an edge is met by looking one band further
     band = F.floor(F.log(F.col("n_x").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
-    # size and place travel in one number
-    entries = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.shiftleft("n_grams", 32).alias("at"))
-    entries = entries.select("h", "x", F.col("at").bitwiseOR(F.col("pos") + 1).alias("at"))
-    shared = entries.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # size and place travel in one number; the shorter set of a linked pair has the hash so early
+    # that the pair still reaches the overlap of two sets of its own size
+    placed = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.col("n_grams").alias("n"))
+    early = _reach(F.col("n") - F.col("pos"), 2 * F.col("n"), percent)
+    entries = placed.select(
+        "h", "x", F.shiftleft("n", 32).bitwiseOR(F.col("pos") + 1).alias("at"), F.when(early, 1 << 32).otherwise(1).alias("w")
+    )
+    # two members, one of them early
+    shared = entries.groupBy("h").agg(F.sum("w").alias("w")).where(F.col("w") > 1 << 32).select("h")
     entries = entries.join(shared, "h", "left_semi").select(
         "h", "x", F.shiftright("at", 32).alias("n_x"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
     )
