@@ -248,8 +248,9 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     # that the pair still reaches the overlap of two sets of its own size
     placed = reps.select(F.posexplode("prefix").alias("pos", "h"), F.col("_id").alias("x"), F.col("n_grams").alias("n"))
     early = _reach(F.col("n") - F.col("pos"), 2 * F.col("n"), percent)
+    # 48 bits of a hash keep tiles apart as well; a tile of two hashes would only hold more pairs to look at
     entries = placed.select(
-        "h", "x", F.shiftleft("n", 32).bitwiseOR(F.col("pos") + 1).alias("at"), F.when(early, 1 << 32).otherwise(1).alias("w")
+        F.shiftrightunsigned("h", 16).alias("h"), "x", F.shiftleft("n", 32).bitwiseOR(F.col("pos") + 1).alias("at"), F.when(early, 1 << 32).otherwise(1).alias("w")
     )
     # two members, one of them early
     shared = entries.groupBy("h").agg(F.sum("w").alias("w")).where(F.col("w") > 1 << 32).select("h")
@@ -259,10 +260,14 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     entries = land(entries.withColumn("band", band), "entries")
 
     # the least member of each tile, seen from its own band and from its neighbours: a hash has few bands
-    least = entries.groupBy("h", "band").agg(F.min(F.struct("x", "n_x")).alias("p"))
-    offered = least.select(F.col("h").alias("h_"), F.col("band").alias("to"), F.col("p.x").alias("y"), F.col("p.n_x").alias("n_y"))
+    least = entries.groupBy("h", "band").agg(F.min(F.struct("x", "n_x", "pos")).alias("p"))
+    offered = least.select(
+        F.col("h").alias("h_"), F.col("band").alias("to"), F.col("p.x").alias("y"), F.col("p.n_x").alias("n_y"), F.col("p.pos").alias("pos_y")
+    )
     fits, a, b = _pair(F.col("x"), F.col("y"), F.col("n_x"), F.col("n_y"), percent)
     near = (F.col("h") == F.col("h_")) & (F.abs(F.col("band") - F.col("to")) <= 1) & fits
+    ends = F.least(F.col("n_x") - F.col("pos"), F.col("n_y") - F.col("pos_y"))
+    near = near & _reach(1 + ends, F.col("n_x") + F.col("n_y"), percent)
     first = land(entries.join(offered, near).select(a, b).distinct(), "pairs")
     links = land(_linked(docs, first, reps, n, percent), "links")
     part = land(components(links), "parts")
