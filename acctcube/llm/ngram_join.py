@@ -14,7 +14,7 @@
    least member, and the links among these pairs give first components. Then sets that are not
    yet in the component of their tile's least member are paired with the members outside their
    own component, under the bounds below. A tile of near copies is linear, nothing is capped.
-4. Pairs pass bounds before their sets are touched. A signature has bit h mod 1024 (for large sets also
+4. Pairs pass bounds before their sets are touched. A signature has bit h mod 512 (for large sets also
    mod 16384) flipped for every hash, so signatures differ in no more bits than the sets differ in members, and the
    overlap is at most (n + m - differing bits) / 2. The first common hash of a pair cannot stand
    so late that too little follows. What remains is counted on the sorted arrays.
@@ -45,9 +45,9 @@ PERCENT = 85
 MAX_FREQUENT = 200_000
 #: Frequent n-grams are looked for among this share of the hash values, the ones prefixes use.
 LOOK = 0.3
-BITS = 1024
-#: Sets from this size on also carry a signature of WIDE bits: 1024 bits tell long texts no more apart.
-LARGE, WIDE = 1500, 1 << 14
+BITS = 512
+#: Sets from this size on also carry a signature of WIDE bits: BITS tell long texts no more apart.
+LARGE, WIDE = 1300, 1 << 14
 WORDS = BITS // 64
 _MARKS = [f"s{k}" for k in range(WORDS)]
 #: Words whose hashes a task remembers, and rows it holds as Python objects at a time.
