@@ -52,7 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir():
             return sc.getCheckpointDir()
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
-    return _local_dirs.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="acctcube-"))
+    if sc.applicationId not in _local_dirs:
+        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="acctcube-")
+    return _local_dirs[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
