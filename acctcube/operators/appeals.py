@@ -17,6 +17,7 @@ from acctcube.fixed_values import (
 from acctcube.functions import flag, if_else, pick, to_number
 from acctcube.functions.columns import contains, ends_with
 from acctcube.operators.cohort import benchmark_flags
+from acctcube.operators.joins import attach
 
 
 def approved_appeals(
@@ -45,15 +46,16 @@ def merge_appeals(
     key: str = "student_key",
     subjects: Sequence[str] = SUBJECTS,
     refill: bool = True,
+    keys_present: bool = False,
 ) -> DataFrame:
     """Override scores by appealed ones.
 
     The appeal is taken where the composite is missing or lower.  All subject
     decisions read the composite as it was before, so one projection does it.
     With ``refill`` a subject that is still missing takes the appealed score;
-    without it a subject is lost where the composite was missing.
+    without it a subject is lost where the composite was missing.  Missing keys match.
     """
-    joined = students.join(appeals, key, "left")
+    joined = attach(students, appeals.withColumnRenamed(key, "_appealed"), key, "_appealed", keys_present)
     old, new = F.col("composite"), F.col("act_composite_highest")
     take = new.isNotNull() & (old.isNull() | (new > old))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from acctcube.fixed_values import BENCHMARKS, SCORES
 from acctcube.functions import differs, flag, if_else, is_true, month_year_code, to_number
 from acctcube.operators.best import SCORE_FIRST, SUBJECT_FIRST, Order, best_record, first_nonmissing
-from acctcube.operators.joins import KeyProfile, attach_unique, key_profile
+from acctcube.operators.joins import attach
 
 
 def graduates(cohort: DataFrame, included: str = "included_in_cohort", completion: str = "completion_type") -> DataFrame:
@@ -78,14 +78,14 @@ def student_level(
     attempt_key: str = "student_id",
     order: Order = SCORE_FIRST,
     thresholds: Mapping[str, int] = BENCHMARKS,
-    profile: KeyProfile | None = None,
+    keys_present: bool = False,
 ) -> DataFrame:
     """Graduates with their best attempt and gated flags; scores are blank where the composite is.
 
-    The profile of the cohort's keys takes one pass over the key column unless given.
+    ``keys_present``: the cohort has no missing key, see ``attach``.
     """
     best = best_record(attempts, attempt_key, order)
-    students = attach_unique(graduates(cohort), best, cohort_key, attempt_key, profile)
+    students = attach(graduates(cohort), best, cohort_key, attempt_key, keys_present)
     blanked = [*thresholds, *[c for c in ["file"] if c in students.columns]]
     flagged = benchmark_flags(students, thresholds, "gated")
     return flagged.withColumns(
@@ -101,19 +101,18 @@ def student_level_fill(
     crosswalk_key: str = "student_id",
     state_day_key: str = "student_id",
     thresholds: Mapping[str, int] = BENCHMARKS,
-    profile: KeyProfile | None = None,
+    keys_present: bool = False,
 ) -> DataFrame:
     """Graduates with the crosswalk's best record; each score still missing is then
     filled from the first state-day value that is not missing.  Flags are never missing.
     """
     scores = SCORES
     kept = graduates(cohort)
-    profile = profile or key_profile(kept, cohort_key)
     best = best_record(crosswalk.select(crosswalk_key, *scores), crosswalk_key, SUBJECT_FIRST)
-    students = attach_unique(kept, best, cohort_key, crosswalk_key, profile)
+    students = attach(kept, best, cohort_key, crosswalk_key, keys_present)
     day = first_nonmissing(
         exclude_location(state_day, keep_missing=True), state_day_key, SUBJECT_FIRST, scores
     ).withColumnsRenamed({c: f"day_{c}" for c in scores})
-    joined = attach_unique(students, day, cohort_key, state_day_key, profile)
+    joined = attach(students, day, cohort_key, state_day_key, keys_present)
     filled = joined.withColumns({c: F.coalesce(c, f"day_{c}") for c in scores})
     return benchmark_flags(filled.drop(*[f"day_{c}" for c in scores]), thresholds, "zero")

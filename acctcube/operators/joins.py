@@ -3,72 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 from functools import reduce
-from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from acctcube.functions import in_set
+#: Places over which the rows with a missing key are spread.
+SPREAD = 128
 
-MAX_HOT_KEYS = 100
-_TRACKED = 10_000
 
+def attach(left: DataFrame, right: DataFrame, left_key: str, right_key: str, keys_present: bool = False) -> DataFrame:
+    """Left join in which missing keys match each other; ``right_key`` is dropped.
 
-@dataclass(frozen=True)
-class KeyProfile:
-    rows: int
-    missing: int
-    hot: list[Any] = field(default_factory=list)
+    One plan at every size, no job while it is built, each table read once.  Rows of
+    ``left`` with a missing key are spread by the partition they come from (a task that runs
+    again chooses the same place), and the right rows with a missing key are repeated for
+    each place.  Both sides are shuffled for this join
+    alone, straight below it, so adaptive execution may split any other key that is hot in
+    ``left`` between tasks.
 
-
-def key_profile(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 1_000_000) -> KeyProfile:
-    """Row count, missing keys, and the keys that hold at least ``share`` of the rows.
-
-    One pass over the key column with a frequent-items sketch; at most
-    ``MAX_HOT_KEYS`` keys come back.  Keys with fewer than ``min_rows`` rows are
-    not worth a separate branch.
-    """
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("missing"),
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top"),
-    ).first()
-    floor = max(share * row.rows, min_rows)
-    # the sketch counts missing keys too
-    hot = [t["item"] for t in (row.top or []) if t["item"] is not None and t["count"] >= floor]
-    return KeyProfile(row.rows, row.missing, hot)
-
-
-def attach_unique(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    profile: KeyProfile | None = None,
-) -> DataFrame:
-    """Left join to a table with at most one row per key; missing keys match each other.
-
-    The common case is one equi-join that reuses the partitioning of ``right``.
-    Missing and hot keys of ``left`` would all land in one partition, so they go
-    through a second branch: its right side has at most one row for each of at
-    most ``MAX_HOT_KEYS`` + 1 keys, and that bound is what allows the broadcast.
+    ``keys_present`` says that ``left`` has no missing key: a plain equi-join that keeps the
+    partitioning (buckets, an earlier rank) of both sides.  A missing key is then an error.
     """
-    profile = profile or key_profile(left, left_key)
     right = right.withColumnRenamed(right_key, "_right_key")
     lk, rk = F.col(left_key), F.col("_right_key")
+    if keys_present:
+        # the partition's number keeps Spark from inferring the same of the right key
+        wrong = F.raise_error(F.concat(F.lit(f"missing {left_key} in partition "), F.spark_partition_id()))
+        present = left.where(F.when(lk.isNull(), wrong.cast("boolean")).otherwise(True))
+        return present.join(right, lk == rk, "left").drop("_right_key")
+    place = F.when(lk.isNull(), F.spark_partition_id() % SPREAD).otherwise(0)
+    places = F.sequence(F.lit(0), F.when(rk.isNull(), SPREAD - 1).otherwise(0))
+    spread = right.withColumn("_right_place", F.explode(places))
+    same = lk.eqNullSafe(rk) & (F.col("_place") == F.col("_right_place"))
+    joined = left.withColumn("_place", place).join(spread, same, "left")
+    return joined.drop("_place", "_right_place", "_right_key")
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as it is, or an error where a key, also the missing one, has several rows.
+
+    Spark plans the rank as a limit before the shuffle: a task sends at most two rows of a key.
+    """
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))
+    several = F.raise_error(F.lit(f"{key} repeats in a table that must have one row per key"))
+    numbered = df.withColumn("_nth", nth).where(F.col("_nth") <= 2)
+    return numbered.where(F.when(F.col("_nth") > 1, several.cast("boolean")).otherwise(True)).drop("_nth")
 
-    def special(col: Column) -> Column:
-        hot = in_set(col, profile.hot) if profile.hot else F.lit(False)
-        return hot | col.isNull() if profile.missing else hot
-
-    if not (profile.hot or profile.missing):
-        return left.join(right.where(rk.isNotNull()), lk == rk, "left").drop("_right_key")
 
-    usual = left.where(~special(lk)).join(right.where(~special(rk) & rk.isNotNull()), lk == rk, "left")
-    few = F.broadcast(right.where(special(rk)))
-    hot = left.where(special(lk)).join(few, lk.eqNullSafe(rk), "left")
-    return usual.unionByName(hot).drop("_right_key")
+def attach_unique(left: DataFrame, right: DataFrame, left_key: str, right_key: str, keys_present: bool = False) -> DataFrame:
+    """``attach`` to a table that must have at most one row per key; a repeated key is an error."""
+    return attach(left, one_per_key(right, right_key), left_key, right_key, keys_present)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Column:
@@ -106,13 +90,18 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str) -> D
 
 
 def merge_status(left: DataFrame, right: DataFrame, left_key: str, right_key: str, key: str) -> DataFrame:
-    """Full join with the match code: 1 only left, 2 only right, 3 both."""
-    a = left.withColumn("_in_left", F.lit(True)).alias("a")
-    b = right.withColumn("_in_right", F.lit(True)).alias("b")
-    lk, rk = F.col(f"a.{left_key}"), F.col(f"b.{right_key}")
-    status = F.when(F.col("_in_left") & F.col("_in_right"), 3).when(F.col("_in_left"), 1).otherwise(2)
-    rest = [F.col(f"a.`{c}`") for c in left.columns if c != left_key]
-    rest += [F.col(f"b.`{c}`") for c in right.columns if c != right_key]
-    return a.join(b, lk.eqNullSafe(rk), "full").select(
-        F.coalesce(lk, rk).alias(key), *rest, status.cast("int").alias("merge_status")
-    )
+    """Full join with the match code: 1 only left, 2 only right, 3 both; missing keys match.
+
+    The rows of ``left`` with their matches, then the rows of ``right`` without one.  The
+    second part compares with the keys of ``left``, one row each, so a key that many rows
+    share, the missing one too, is not brought to one task with all its rows.
+    """
+    flagged = right.withColumnRenamed(right_key, "_key").withColumn("_in_right", F.lit(True))
+    matched = attach(left, flagged, left_key, "_key")
+    status = F.when(F.col("_in_right"), 3).otherwise(1)
+    rest = [F.col(f"`{c}`") for c in [*left.columns, *right.columns] if c not in (left_key, right_key)]
+    first = matched.select(F.col(left_key).alias(key), *rest, status.cast("int").alias("merge_status"))
+    seen = left.select(F.col(left_key).alias("_key")).distinct().withColumn("_in_left", F.lit(True))
+    alone = attach(right, seen, right_key, "_key").where(F.col("_in_left").isNull())
+    second = alone.select(F.col(right_key).alias(key), *[c for c in right.columns if c != right_key], F.lit(2).alias("merge_status"))
+    return first.unionByName(second, allowMissingColumns=True)

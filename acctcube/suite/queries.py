@@ -70,6 +70,11 @@ def best_attempts(spark, sf):
     return best.best_record(decoded(spark, sf), "student_id").drop("test_location")
 
 
+def best_with_gaps(spark, sf):
+    attempts = t.with_gaps(decoded(spark, sf), "student_id", 10, 3)
+    return best.best_record(attempts, "student_id").drop("test_location")
+
+
 def students(spark, sf):
     return co.student_level(t.cohort(spark, sf), decoded(spark, sf).drop("test_location"))
 
@@ -230,6 +235,25 @@ def join_left_cohort(spark, sf):
     )
 
 
+@query
+def join_left_cohort_missing_keys(spark, sf):
+    kept = t.with_gaps(co.graduates(t.cohort(spark, sf)), "student_key", 3, 0)
+    return jn.attach_unique(kept, best_with_gaps(spark, sf), "student_key", "student_id")
+
+
+@query
+def join_left_cohort_hot_key(spark, sf):
+    kept = t.with_hot_key(co.graduates(t.cohort(spark, sf)), "student_key")
+    return jn.attach_unique(kept, best_attempts(spark, sf), "student_key", "student_id")
+
+
+@query
+def appeals_merge_missing_keys(spark, sf):
+    cohort = t.with_gaps(t.cohort(spark, sf), "student_key", 3, 0)
+    attempts = t.with_gaps(decoded(spark, sf).drop("test_location"), "student_id", 10, 3)
+    return ap.merge_appeals(co.student_level(cohort, attempts), ap.approved_appeals(t.text_tracker(spark, sf)))
+
+
 @query
 def appeals_merge(spark, sf):
     return ap.merge_appeals(students(spark, sf), approved(spark, sf))
@@ -267,6 +291,12 @@ def merge_keep_using(spark, sf):
     return jn.attach_unique(kept, crosswalk, "student_key", "student_id")
 
 
+@query
+def merge_status_missing_keys(spark, sf):
+    kept = t.with_gaps(co.graduates(t.cohort(spark, sf)), "student_key", 3, 0).select("student_key", "system")
+    return jn.merge_status(kept, best_with_gaps(spark, sf).select("student_id", "composite"), "student_key", "student_id", "id")
+
+
 @query
 def merge_status(spark, sf):
     taken = best_attempts(spark, sf).select("student_id", "composite")
@@ -521,8 +551,10 @@ def benchmark_flags_ungated(spark, sf):
         "usid",
         F.col("act_english_highest").alias("english"),
         F.when(F.col("act_composite_highest") > 9, F.col("act_math_highest")).alias("math"),
+        F.col("act_reading_highest").alias("reading"),
+        F.col("act_science_highest").alias("science"),
     )
-    return co.benchmark_flags(rows, {k: BENCHMARKS[k] for k in ("english", "math")}, mode="ungated")
+    return co.benchmark_flags(rows, mode="ungated")
 
 
 @query

@@ -194,7 +194,23 @@ VIEWS: dict[str, str] = {
       cast(1 + cast(trunc(l_extendedprice) as bigint) % 36 as int) as act_composite_highest
       from lineitem""",
     "fwh": _cells(),
+    # missing keys on both sides
+    "kpm": "select * replace (case when student_key % 3 <> 0 then student_key end as student_key) from kept",
+    "dcm": "select * replace (case when student_id % 10 <> 3 then student_id end as student_id) from dec",
+    "apn": "select * replace (case when student_key <> 33 then student_key end as student_key) from app",
 }
+_NULL_SAFE = {"kept k": "kpm k", "bst b": "bsm b", "dec)": "dcm)", "stu s": "stm s", "app a": "apn a", "student_key = ": "student_key is not distinct from "}
+
+
+def _null_safe(view: str) -> str:
+    """A view over the tables with missing keys, which match."""
+    text = VIEWS[view]
+    for plain, other in _NULL_SAFE.items():
+        text = text.replace(plain, other)
+    return text
+
+
+VIEWS |= {"bsm": _null_safe("bst"), "stm": _null_safe("stu"), "apg": _null_safe("apm")}
 NEEDS: dict[str, list[str]] = {
     "dec": ["att"],
     "kept": ["coh"],
@@ -211,6 +227,12 @@ NEEDS: dict[str, list[str]] = {
     "fil0": ["kept", "alt_xw", "fnn"],
     "fil": ["fil0"],
     "xsch": ["xsys"],
+    "kpm": ["kept"],
+    "dcm": ["dec"],
+    "apn": ["app"],
+    "bsm": ["dcm"],
+    "stm": ["kpm", "bsm"],
+    "apg": ["stm", "apn"],
 }
 
 
@@ -542,6 +564,19 @@ def oracle() -> dict[str, str]:
 
     o["join_left_cohort"] = with_views(
         f"select k.*, b.* exclude (student_id) from kept k left join bst b on k.student_key = b.student_id", "kept", "bst")
+    o["join_left_cohort_missing_keys"] = with_views(
+        "select k.*, b.* exclude (student_id) from kpm k left join bsm b on k.student_key is not distinct from b.student_id",
+        "kpm", "bsm")
+    o["join_left_cohort_hot_key"] = with_views(
+        """select k.*, b.* exclude (student_id)
+        from (select * replace (case when student_key % 3 = 1 then 7 else student_key end as student_key) from kept) k
+        left join bst b on k.student_key = b.student_id""", "kept", "bst")
+    o["appeals_merge_missing_keys"] = with_views("select * from apg", "apg")
+    o["merge_status_missing_keys"] = with_views(
+        """select coalesce(k.student_key, b.student_id) as id, system, composite,
+        case when system is null then 2 when b.here is null then 1 else 3 end as merge_status
+        from (select student_key, system from kpm) k full join (select student_id, composite, 1 as here from bsm) b
+        on k.student_key is not distinct from b.student_id""", "kpm", "bsm")
     o["appeals_merge"] = with_views("select * from apm", "apm")
     lost = ", ".join(
         f"""case when act_composite_highest is null then {s} when composite is null then null
@@ -654,10 +689,10 @@ def oracle() -> dict[str, str]:
           from att group by student_id) d on student_key = d.student_id""", "kept", "alt_xw")
 
     o["benchmark_flags_gated"] = with_views(f"select *, {flags_sql('gated')} from att", "att")
-    two = {k: BENCHMARKS[k] for k in ("english", "math")}
     o["benchmark_flags_ungated"] = with_views(
-        f"""select *, {flags_sql('ungated', two)} from (select usid, act_english_highest as english,
-        case when act_composite_highest > 9 then act_math_highest end as math from mat)""", "mat")
+        f"""select *, {flags_sql('ungated')} from (select usid, act_english_highest as english,
+        case when act_composite_highest > 9 then act_math_highest end as math, act_reading_highest as reading,
+        act_science_highest as science from mat)""", "mat")
     blank = ", ".join(f"case when composite is not null then {s} end as {s}" for s in SUBJECTS)
     o["benchmark_flags_zero"] = with_views(
         f"select *, {flags_sql('zero')} from (select * replace ({blank}) from att)", "att")

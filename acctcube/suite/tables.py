@@ -103,6 +103,22 @@ def appeal_tracker(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def with_gaps(df: DataFrame, key: str, n: int, rest: int) -> DataFrame:
+    """The key is missing where its remainder by ``n`` is ``rest``."""
+    return df.withColumn(key, F.when(_mod(key, n) != rest, F.col(key)))
+
+
+def with_hot_key(df: DataFrame, key: str) -> DataFrame:
+    """A third of the rows have the key 7."""
+    return df.withColumn(key, F.when(_mod(key, 3) == 1, 7).otherwise(F.col(key)))
+
+
+def text_tracker(spark: SparkSession, sf: str) -> DataFrame:
+    """The tracker with ids as text; one approved one is unreadable."""
+    key = F.col("student_id")
+    return appeal_tracker(spark, sf).withColumn("student_id", F.when(key == 33, "see file").otherwise(key.cast("string")))
+
+
 def system_names(spark: SparkSession, sf: str) -> DataFrame:
     """District names, some missing."""
     return (

@@ -11,7 +11,7 @@ from acctcube.operators.cohort import (
     student_level,
     student_level_fill,
 )
-from acctcube.operators.joins import KeyProfile, attach_unique, full_join, key_profile, merge_status
+from acctcube.operators.joins import attach_unique, full_join, merge_status
 
 ATT = (
     "student_id bigint, english int, math int, reading int, science int, composite int, test_date date, file string"
@@ -111,27 +111,37 @@ def test_student_level_fill(frame):
     assert got == [(1, 20, 30, 20, 1, 1), (2, 18, 25, 22, 1, 1), (3, None, None, None, 0, 0)]
 
 
-def test_key_profile_finds_hot_keys(frame):
-    df = frame([(7,)] * 60 + [(None,)] * 20 + [(i,) for i in range(100, 220)], "k bigint")
-    profile = key_profile(df, "k", share=0.2, min_rows=1)
-    assert (profile.rows, profile.missing, profile.hot) == (200, 20, [7])
-    assert key_profile(df, "k").hot == []
-    assert key_profile(df, "k", share=0.05, min_rows=1).hot == [7]
-    empty = key_profile(df.where("k < 0"), "k", min_rows=1)
-    assert (empty.rows, empty.missing, empty.hot) == (0, 0, [])
-
-
-@pytest.mark.parametrize("hot", [[], [7]])
 @pytest.mark.parametrize("with_missing", [False, True])
-def test_attach_unique_branches_agree(frame, hot, with_missing):
+def test_attach_unique(frame, with_missing):
     left_rows = [(7, i) for i in range(30)] + [(k, k) for k in (1, 2, 3)]
-    left_rows += [(None, -1), (None, -2)] if with_missing else []
+    left_rows += [(None, -i) for i in range(1, 300)] if with_missing else []
     left = frame(left_rows, "key bigint, v int")
     right = frame([(7, "seven"), (2, "two"), (9, "nine"), (None, "none")], "id bigint, name string")
-    names = {7: "seven", 2: "two", **({None: "none"} if with_missing else {})}
-    out = attach_unique(left, right, "key", "id", KeyProfile(len(left_rows), 2 * with_missing, hot))
-    expect = sorted(((k, v, names.get(k)) for k, v in left_rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    assert sorted((tuple(r) for r in out.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == expect
+    names = {7: "seven", 2: "two", None: "none"}
+    expect = sorted(((k, v, names.get(k)) for k, v in left_rows), key=str)
+    assert sorted(map(tuple, attach_unique(left, right, "key", "id").collect()), key=str) == expect
+    if not with_missing:  # the right side's missing key is no error
+        out = attach_unique(left, right, "key", "id", keys_present=True)
+        assert sorted(map(tuple, out.collect()), key=str) == expect
+
+
+@pytest.mark.parametrize("key", [2, None])
+def test_attach_unique_wants_one_row_per_key(frame, key):
+    right = frame([(key, "a"), (key, "b"), (3, "c")], "id bigint, name string")
+    with pytest.raises(Exception, match="id repeats"):
+        attach_unique(frame([(1,)], "key bigint"), right, "key", "id").collect()
+
+
+def test_keys_present_raises_on_a_missing_key(frame):
+    left, right = frame([(1,), (None,)], "key bigint"), frame([(1, "a")], "id bigint, name string")
+    with pytest.raises(Exception, match="missing key"):
+        attach_unique(left, right, "key", "id", keys_present=True).collect()
+
+
+def test_attach_empty_tables(frame):
+    left, right = frame([(None,), (1,)], "key bigint"), frame([], "id bigint, name string")
+    assert sorted(map(tuple, attach_unique(left, right, "key", "id").collect()), key=str) == [(1, None), (None, None)]
+    assert attach_unique(left.where("key > 5"), right, "key", "id").collect() == []
 
 
 def test_full_join_matches_missing_keys(frame):
@@ -146,6 +156,14 @@ def test_merge_status(frame):
     assert rows(merge_status(a, b, "a", "b", "id"), "id", "merge_status") == [(1, 1), (2, 3), (3, 2)]
 
 
+@pytest.mark.parametrize("ours, theirs, codes", [(3, 1, [3, 3, 3]), (3, 0, [1, 1, 1]), (0, 3, [2, 2, 2]), (1, 2, [3, 3])])
+def test_merge_status_of_missing_keys(frame, ours, theirs, codes):
+    a = frame([(None,)] * ours + [(1,)], "k int")
+    b = frame([(None,)] * theirs + [(2,)], "k int")
+    got = merge_status(a, b, "k", "k", "id").where("id is null").collect()
+    assert [r.merge_status for r in got] == codes
+
+
 def test_best_record_is_bounded_before_the_shuffle(frame, plan):
     att = frame([(1, 1, 1, 1, 1, 1, None, "a")], ATT)
     text = plan(best_record(att, "student_id"))
