@@ -82,7 +82,7 @@ def spans(text: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
 
 
-_BLOCK = 256
+_BLOCK = 32
 
 
 def _total(a: Column) -> Column:

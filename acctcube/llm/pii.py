@@ -1,15 +1,23 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
-The patterns give the protected values (e-mail, ip, card, phone). A term beside a value
-discloses it as far as seeing the term tells that the value is near: with document counts
-over the whole corpus, ``pmi = log2(n_te * N / (n_t * n_e))`` against the information of the
-value itself, ``ic = log2(N / n_e)``. A term that occurs with the value in ``min_support``
-documents or more, in ``min_support`` different surroundings or more (copies of one text show
-nothing new), and has ``pmi >= disclosure * ic`` becomes a span too; ``sanitise`` removes the
-value and generalises the term.
+The patterns give the protected values (e-mail, ip, card, phone). A term of a document that holds
+a value discloses it as far as seeing the term tells that the value is in the document: with
+document counts over whole texts and the whole corpus, ``pmi = log2(n_te * N / (n_t * n_e))``
+against the information of the value itself, ``ic = log2(N / n_e)``. A term that occurs with the
+value in ``min_support`` documents or more, in ``min_support`` different surroundings or more
+(copies of one text show nothing new), and has ``pmi >= disclosure * ic`` is a disclosing term:
+each of its occurrences outside the values becomes a span too, anywhere in a document with a value
+and, with ``everywhere``, as the query has it, in all other documents.
+``sanitise`` removes the value and generalises the term.
+
+The surroundings of a pair in a document are ``window`` code points on either side of each place
+of the value and ``NEAR`` words on either side of the places of the term; they tell copies apart and
+bound neither what is counted nor what is marked.
 
 Counts are combined on the map side, per document first, so a value or a word in a third of all
-documents is one row per task. Only rows with a protected value meet a join.
+documents is one row per task. Pairs are formed for rows with a protected value, and only of terms and
+values whose counts can pass the bounds; other rows are read for the counts of those terms and for the
+disclosing terms, and meet a join on these alone.
 
 Defined results:
 
@@ -37,12 +45,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM_PATTERN = r"\p{L}[\p{L}\p{M}]*+"
+HIDDEN = "\ue000"  # a private-use character stands for each letter of an e-mail
 
-WINDOW = 80  # code points on either side of a value
+WINDOW = 80  # code points on either side of a value that tell copies of a text apart
+NEAR = 8  # words on either side of a term that do so
 MIN_SUPPORT = 2
 DISCLOSURE = 0.5
-#: A term and a value of bounded length: at most so many pairs are broadcast.
+#: Words and row ids: at most so many are broadcast; hashes of texts are narrow, more of them may be.
 MAX_BROADCAST = 200_000
+MAX_HASHES = 2_000_000
 
 
 def _digits(value: Column) -> Column:
@@ -109,57 +120,72 @@ def _count(base: Column, k: int) -> Column:
     return F.size(F.filter(base, lambda b: b["kind"] == k)).cast("long")
 
 
-def _beside(text: Column, base: Column, window: int) -> Column:
-    """Whole words within ``window`` code points of a value and outside all values."""
+def _words(text: Column) -> Column:
+    """Whole words outside all values: ``array<struct<term, start, end>>``.
 
-    def of(b: Column) -> Column:
-        left = F.greatest(b["start"] - window, F.lit(0))
-        right = F.least(F.length(text) - b["end"], F.lit(window))
-        seen = F.xxhash64(
-            F.substring(text, left + 1, b["start"] - left), F.substring(text, b["end"] + 1, right)
-        )
+    Of the values only e-mails hold letters. Their letters are replaced one by one, so the words stand
+    where they stood, and a word that shares a letter with an e-mail is left out.
+    """
 
-        def cut(at: Column, length: Column, outer_left: Column, outer_right: Column) -> Column:
-            # one more code point on the outer side shows whether a word is cut there
-            ctx = F.substring(text, at + 1, length)
-            inside = F.filter(
-                spans(ctx, TERM_PATTERN),
-                lambda m: ((m["start"] > 0) | ~outer_left) & ((m["end"] < length) | ~outer_right),
-            )
-            return F.transform(
-                inside,
-                lambda m: F.struct(
-                    b["entity"].alias("entity"),
-                    F.lower(m["value"]).alias("term"),
-                    seen.alias("seen"),
-                    (m["start"] + at).alias("start"),
-                    (m["end"] + at).alias("end"),
+    def hidden(t: Column) -> Column:
+        return let(
+            F.split(t, PATTERNS["email"], -1),
+            lambda gaps: F.concat(
+                F.array_join(
+                    F.transform(
+                        F.regexp_extract_all(t, F.lit(PATTERNS["email"]), F.lit(0)),
+                        lambda m, i: F.concat(gaps[i], F.regexp_replace(m, r"\p{L}", HIDDEN)),
+                    ),
+                    "",
                 ),
-            )
-
-        return F.concat(
-            cut(left, b["start"] - left, left > 0, F.lit(False)),
-            cut(b["end"], right, F.lit(False), b["end"] + right < F.length(text)),
+                F.element_at(gaps, -1),
+            ),
         )
 
-    words = F.flatten(F.transform(base, of))
-    return F.filter(
-        words, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
+    masked = F.when(F.contains(text, F.lit("@")), let(F.translate(text, HIDDEN, " "), hidden)).otherwise(text)
+    found = let(masked, lambda t: spans(t, rf"[{HIDDEN}\p{{L}}][{HIDDEN}\p{{L}}\p{{M}}]*+"))
+    return F.transform(
+        F.filter(found, lambda m: ~F.contains(m["value"], F.lit(HIDDEN))),
+        lambda m: F.struct(F.lower(m["value"]).alias("term"), m["start"].alias("start"), m["end"].alias("end")),
     )
 
 
+def _terms(text: Column) -> Column:
+    """Distinct lower-cased words of a whole text."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM_PATTERN), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+
+
+def _about(text: Column, base: Column, window: int) -> Column:
+    """Entities with the text around: ``array<struct<entity, seen>>``, one for each place."""
+
+    def of(b: Column) -> Column:
+        left = F.greatest(b["start"] - window, F.lit(0))
+        seen = F.xxhash64(
+            F.substring(text, left + 1, b["start"] - left), F.substring(text, b["end"] + 1, F.lit(window))
+        )
+        return F.struct(b["entity"].alias("entity"), seen.alias("seen"))
+
+    return F.transform(base, of)
+
+
 def _found(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("_text"), F.lit(""))
     return docs.withColumn("_base", base_spans(text))
 
 
 def _private(docs: DataFrame, window: int, *keep: str) -> DataFrame:
-    """Landed rows that hold a value, with a row number, their values and the words beside."""
+    """Landed rows that hold a value, with a row number, their values and all their words."""
     return land(
         _found(docs)
         .where(F.size("_base") > 0)
-        .withColumn("_beside", _beside(F.col("_text"), F.col("_base"), window))
-        .select(F.monotonically_increasing_id().alias("_rid"), *keep, "_base", "_beside"),
+        .select(
+            F.monotonically_increasing_id().alias("_rid"),
+            *keep,
+            "_base",
+            _about(F.col("_text"), F.col("_base"), window).alias("_about"),
+            _words(F.col("_text")).alias("_words"),
+        ),
         "private",
     )
 
@@ -168,51 +194,96 @@ def disclosing_terms(
     docs: DataFrame, private: DataFrame, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE
 ) -> DataFrame:
     """(entity, term) pairs whose term discloses the entity; counts over all of ``docs``."""
-    n = docs.count()
-    values = private.select(F.explode(F.array_distinct(F.transform("_base", lambda b: b["entity"]))).alias("entity"))
-    n_e = values.groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = private.select(
-        F.explode(
-            F.array_distinct(F.transform("_beside", lambda w: F.struct(w["entity"], w["term"], w["seen"])))
-        ).alias("p")
-    ).select("p.*")
-    # per surroundings first: a hot pair is a row per task, then a row per surroundings
-    n_te = land(
-        pairs.groupBy("entity", "term", "seen")
+    n = float(docs.count())
+    # one row per document and value, one per document and term
+    values = private.select("_rid", F.inline("_about")).groupBy("_rid", "entity").agg(F.min("seen").alias("e_seen"))
+    n_e = values.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
+    held = F.transform("_words", lambda w: w["term"])
+    near = let(
+        held,
+        lambda t: F.transform(
+            t,
+            lambda w, i: F.struct(
+                w.alias("term"),
+                F.xxhash64(F.slice(t, F.greatest(i - NEAR, F.lit(0)) + 1, F.least(i, F.lit(NEAR)) + NEAR + 1)).alias("seen"),
+            ),
+        ),
+    )
+    # a term of fewer documents with a value cannot have the support
+    often = land(
+        private.select(F.explode(F.array_distinct(held)).alias("term"))
+        .groupBy("term")
         .agg(F.count("*").alias("n"))
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_seen"), F.sum("n").alias("n_te"))
-        .where((F.col("n_seen") >= min_support) & (F.col("n_te") >= min_support)),
-        "pairs",
+        .where(F.col("n") >= min_support)
+        .select("term"),
+        "often",
     )
-    wanted = small(n_te.select("term").distinct(), MAX_BROADCAST)
-    text = F.coalesce(F.col("_text"), F.lit(""))
-    n_t = (
-        docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
-        .join(wanted, "term", "left_semi")
+    n_t = land(
+        docs.select(F.explode(_terms(F.col("_text"))).alias("term"))
+        .join(small(often, MAX_BROADCAST), "term", "left_semi")
         .groupBy("term")
-        .agg(F.count("*").alias("n_t"))
+        .agg(F.count("*").alias("n_t")),
+        "term-counts",
     )
-    pmi = F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))
-    ic = F.log2(F.lit(float(n)) / F.col("n_e"))
+    words = private.select("_rid", F.inline(near)).groupBy("_rid", "term").agg(F.min("seen").alias("t_seen"))
+    pmi = F.log2(F.col("n_te") * F.lit(n) / (F.col("n_t") * F.col("n_e")))
+    ic = F.log2(F.lit(n) / F.col("n_e"))
+    # n_te is n_e and n_t at most: what cannot pass with that is left out before pairs are shuffled
+    best = F.log2(F.lit(n) / F.greatest("n_t", "n_e"))
+    pairs = (
+        words.join(small(n_t, MAX_BROADCAST), "term")
+        .join(values.join(n_e, "entity"), "_rid")
+        .where((ic > 0) & (best >= disclosure * ic - 1e-6))
+    )
+    # per surroundings first: a hot pair is a row per task, then a row per surroundings
     return (
-        n_te.join(n_e, "entity")
-        .join(n_t, "term")
-        .where((ic > 0) & (pmi >= disclosure * ic))
+        pairs.groupBy("entity", "term", "n_e", "n_t", F.xxhash64("e_seen", "t_seen").alias("seen"))
+        .agg(F.count("*").alias("n"))
+        .groupBy("entity", "term", "n_e", "n_t")
+        .agg(F.count("*").alias("n_seen"), F.sum("n").alias("n_te"))
+        .where((F.col("n_seen") >= min_support) & (F.col("n_te") >= min_support) & (pmi >= disclosure * ic))
         .select("entity", "term")
     )
 
 
-def _all_spans(docs: DataFrame, private: DataFrame, min_support: int, disclosure: float) -> DataFrame:
-    """``_rid`` and every span of the row once, by kind, then start."""
-    terms = disclosing_terms(docs, private, min_support, disclosure)
-    beside = private.select("_rid", F.explode("_beside").alias("w")).select("_rid", "w.*")
-    hits = (
-        beside.join(small(land(terms, "terms"), MAX_BROADCAST), ["entity", "term"], "left_semi")
-        .select("_rid", F.lit(len(KINDS)).alias("kind"), "start", "end")
-    )
+def _judged(
+    docs: DataFrame, window: int, min_support: int, disclosure: float, everywhere: bool, *keep: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows that may hold a span, the spans by ``_rid`` (each once), and the rows without one."""
+    private = _private(docs, window, *keep)
+    terms = land(disclosing_terms(docs, private, min_support, disclosure).select("term").distinct(), "terms")
+    wanted = small(terms, MAX_BROADCAST)
     base = private.select("_rid", F.explode("_base").alias("b")).select("_rid", "b.kind", "b.start", "b.end")
-    return base.unionByName(hits).distinct()
+
+    def spans_of(rows: DataFrame) -> DataFrame:
+        hits = (
+            rows.select("_rid", F.inline("_words"))
+            .join(wanted, "term", "left_semi")
+            .select("_rid", F.lit(len(KINDS)).alias("kind"), "start", "end")
+        )
+        return base.unionByName(hits).distinct()
+
+    if not everywhere:
+        return private, spans_of(private), _found(docs).where(F.size("_base") == 0)
+    # texts that hold a disclosing term: the hash only parts the rows, each is looked at itself
+    hashed = docs.withColumn("_hash", F.xxhash64("_text"))
+    touched = land(
+        hashed.select("_hash", F.explode(_terms(F.col("_text"))).alias("term"))
+        .join(wanted, "term", "left_semi")
+        .select("_hash")
+        .distinct(),
+        "touched",
+    )
+    clean = _found(hashed).where(F.size("_base") == 0)
+    texts = small(touched, MAX_HASHES)
+    marked = land(
+        clean.join(texts, "_hash", "left_semi").select(
+            (-1 - F.monotonically_increasing_id()).alias("_rid"), *keep, "_base", _words(F.col("_text")).alias("_words")
+        ),
+        "marked",
+    )
+    rows = private.drop("_about").unionByName(marked)
+    return rows, spans_of(rows), clean.join(texts, "_hash", "left_anti")
 
 
 def _joined(items: Column) -> Column:
@@ -226,22 +297,19 @@ def _joined(items: Column) -> Column:
 
 
 def find_pii(
-    docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE
+    docs: DataFrame,
+    window: int = WINDOW,
+    min_support: int = MIN_SUPPORT,
+    disclosure: float = DISCLOSURE,
+    everywhere: bool = False,
 ) -> DataFrame:
     """Counts, digest of the pattern spans, and all spans, for every row of ``docs``."""
     rows = docs.select(F.col("doc_id").alias("_doc_id"), F.col("text").alias("_text"))
-    private = _private(rows, window, "_doc_id")
-    all_spans = (
-        _all_spans(rows, private, min_support, disclosure)
-        .groupBy("_rid")
-        .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_spans"))
-    )
-    clean = (
-        _found(rows)
-        .where(F.size("_base") == 0)
-        .select("_doc_id", "_base", F.array().cast("array<struct<kind:int,start:int,end:int>>").alias("_spans"))
-    )
-    held = private.join(all_spans, "_rid").select("_doc_id", "_base", "_spans")
+    held, found, clean = _judged(rows, window, min_support, disclosure, everywhere, "_doc_id")
+    all_spans = found.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_spans"))
+    no_span = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    clean = clean.select("_doc_id", "_base", no_span.alias("_spans"))
+    held = held.join(all_spans, "_rid", "left").select("_doc_id", "_base", F.coalesce("_spans", no_span).alias("_spans"))
     return clean.unionByName(held).select(
         F.col("_doc_id").alias("doc_id"),
         *(
@@ -253,7 +321,11 @@ def find_pii(
 
 
 def sanitise(
-    docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT, disclosure: float = DISCLOSURE
+    docs: DataFrame,
+    window: int = WINDOW,
+    min_support: int = MIN_SUPPORT,
+    disclosure: float = DISCLOSURE,
+    everywhere: bool = False,
 ) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; columns as they were.
 
@@ -263,11 +335,10 @@ def sanitise(
     from pyspark.sql import Window as W
 
     rows = packed(docs, "text")
-    private = _private(rows, window, "_row", "_text")
+    held, found, clean = _judged(rows, window, min_support, disclosure, everywhere, "_row", "_text")
     before = W.partitionBy("_rid").orderBy("start", F.desc("end"), "kind").rowsBetween(W.unboundedPreceding, -1)
     pieces = (
-        _all_spans(rows, private, min_support, disclosure)
-        .withColumn("done", F.coalesce(F.max("end").over(before), F.lit(0)))
+        found.withColumn("done", F.coalesce(F.max("end").over(before), F.lit(0)))
         .where(F.col("end") > F.col("done"))
         .groupBy("_rid")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", "done", "kind"))).alias("_cuts"))
@@ -282,10 +353,9 @@ def sanitise(
     )
     end = F.array_max(F.transform("_cuts", lambda s: s["end"]))
     text = F.concat(F.array_join(kept, ""), F.substring("_text", end + 1, F.length("_text")))
-    masked = private.join(pieces, "_rid").select("_row", text.alias("_text"))
+    masked = held.join(pieces, "_rid", "left").select("_row", F.coalesce(text, "_text").alias("_text"))
     fields = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         fields["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
     masked = masked.select(F.struct(*(fields.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns)).alias("_row"))
-    clean = _found(rows).where(F.size("_base") == 0).select("_row")
-    return clean.unionByName(masked).select("_row.*")
+    return clean.select("_row").unionByName(masked).select("_row.*")

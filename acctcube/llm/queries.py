@@ -26,7 +26,7 @@ def op3_quality_rules(spark, sf):
 
 @query
 def op10_pii(spark, sf):
-    return pii.find_pii(table(spark, sf, "documents"))
+    return pii.find_pii(table(spark, sf, "documents"), everywhere=True)
 
 
 @query

@@ -218,6 +218,21 @@ def test_pii_terms_and_masking(spark, clashing, none):
     assert pii.find_pii(none).count() == 0
 
 
+def test_pii_terms_in_whole_texts(spark):
+    # the name on top, the address far below; the name again in texts that hold no value
+    rows = [(i, f"zebulon {prose(800 + i, 60)} ann@example.com {prose(820 + i, 60)} Zebulon") for i in range(4)]
+    rows += [(10 + i, prose(840 + i, 100)) for i in range(200)] + [(300, "home of zebulon and the river"), (301, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans.split(",") for r in pii.find_pii(df, everywhere=True).collect()}
+    for i in range(4):
+        n = len(rows[i][1])
+        assert "term:0:7" in found[i] and f"term:{n - 7}:{n}" in found[i]
+    assert found[300] == ["term:8:15"] and found[301] == [""]
+    masked = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True).collect()}
+    assert masked[300] == "home of [TERM] and the river" and masked[301] is None and len(masked) == len(rows)
+    assert not any("zebulon" in (t or "").lower() for t in masked.values())
+
+
 def test_spans_follow_the_matches(spark):
     texts = ["", "a1b22c", "1", "😀12 é3", "7 " * 900]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", spans(F.col("t"), "[0-9]+").alias("s"))
