@@ -395,6 +395,22 @@ def test_licenses(spark, none):
     assert license_scan.scan_licenses(none).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    import textwrap
+
+    wrapped = {"MIT": 2, "GPL-3.0": 1, "BSD-2-Clause": 0}
+    rows, want = [], set()
+    for i, (name, k) in enumerate(wrapped.items()):
+        for j, mark in enumerate(("", "# ", " * ", "REM ")):
+            lines = textwrap.wrap(license_scan.TEMPLATES[name][k], 78 - len(mark))
+            assert len(lines) > 1
+            rows.append((10 * i + j, "\n".join(["int x;", "", *(mark + x for x in lines), "", prose(900 + i, 30)])))
+            want.add((10 * i + j, 2, name))
+    rows.append((50, "// Permission is\n// hereby granted to go.\n"))
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.line, r.license) for r in found} == want and len(found) == len(want)
+
+
 def test_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     model = html_extract.fit(pages)
