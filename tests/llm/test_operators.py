@@ -411,6 +411,23 @@ def test_wrapped_licenses(spark):
     assert {(r.doc_id, r.line, r.license) for r in found} == want and len(found) == len(want)
 
 
+def test_licenses_in_long_lines_capitals_and_lists(spark):
+    long = prose(920, 40)
+    apache = license_scan.TEMPLATES["Apache-2.0"][1]
+    rows = [
+        (1, f"{long} Released under the MIT License. {long}", [(0, "MIT")]),
+        (2, f"{long} {apache} {long}", [(0, "Apache-2.0")]),
+        (3, "x\nLICENSED UNDER THE APACHE LICENSE, VERSION 2.0.", [(1, "Apache-2.0")]),
+        (4, "SPDX-License-Identifier: MIT OR Apache-2.0", [(0, "Apache-2.0"), (0, "MIT")]),
+        (5, "SPDX-License-Identifier: Apache-2.0 OR MIT", [(0, "Apache-2.0"), (0, "MIT")]),
+        (6, "Licensed under the MIT License or the Apache License, Version 2.0.", [(0, "Apache-2.0"), (0, "MIT")]),
+        (7, f"{long} Released under the MIT License. {long} Licensed under CC BY-NC 4.0.", [(0, "CC-BY-NC-4.0"), (0, "MIT")]),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = sorted((r.doc_id, r.line, r.license) for r in license_scan.scan_licenses(docs).collect())
+    assert found == [(i, *w) for i, _, want in rows for w in want]
+
+
 def test_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     model = html_extract.fit(pages)
