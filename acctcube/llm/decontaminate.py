@@ -5,7 +5,9 @@ capitalised word after another word) are replaced by typed placeholders, the res
 of ``width`` tokens of the benchmark, once with names as placeholders and once as words, are
 hash-joined with the windows of the documents (names as placeholders only). Along one alignment
 of an item and a document every slot value of the item must have one value in the document; the
-consistent alignments together must cover ``min_share`` of the item's windows.
+consistent alignments together must cover ``min_share`` of the item's windows. With ``literal``, as the
+query and the pipeline have it, a value that has several drops only the windows that hold it: windows
+without slots and windows whose slot values are the item's count whatever the rest of the alignment says.
 
 Windows of the benchmark are the small side: they are broadcast up to ``MAX_BROADCAST`` windows
 (a hash and three integers each), else the planner shuffles. A first pass streams the hashes of
@@ -148,11 +150,12 @@ def _hits(docs: DataFrame, items: DataFrame, width: int, min_tokens: int, key: l
     return t.select(*key, F.inline(F.concat(*(_windows(F.col("_t"), k, "slot") for k in lengths)))).join(side, "h")
 
 
-def _pairs(hits: DataFrame, key: list[str], min_share: float) -> DataFrame:
-    """Items found in documents, over their consistent alignments."""
+def _pairs(hits: DataFrame, key: list[str], min_share: float, literal: bool) -> DataFrame:
+    """Items found in documents, over the windows that count."""
     line = [*key, "_item", "line"]
     hits = hits.withColumn("line", F.col("pos") - F.col("at"))
     # windows without slots say nothing about consistency; the others pair old and new values
+    differs = (F.col("a") != F.col("old")) | (F.col("z") != F.col("old"))
     changed = (
         hits.where(F.col("was").isNotNull())
         .select(*line, F.inline(F.arrays_zip(F.split("was", "\x00").alias("old"), F.split("slots", "\x00").alias("new"))))
@@ -160,14 +163,24 @@ def _pairs(hits: DataFrame, key: list[str], min_share: float) -> DataFrame:
         .agg(F.min("new").alias("a"), F.max("new").alias("z"))
         .groupBy(*line)
         .agg(
-            F.max(F.col("a") != F.col("z")).alias("torn"),
-            F.sum((F.col("a") != F.col("old")).cast("long")).alias("n_changed"),
+            F.collect_set(F.when(F.col("a") != F.col("z"), F.col("old"))).alias("torn"),
+            F.sum(differs.cast("long")).alias("n_changed"),
         )
     )
-    lines = hits.groupBy(*line, "n").agg(F.collect_set("at").alias("at"))  # at most n positions
+    # at most n positions in two forms
+    seen = F.struct("at", "was", F.col("was").eqNullSafe(F.col("slots")).alias("same"))
+    lines = hits.groupBy(*line, "n").agg(F.collect_set(seen).alias("seen"))
+    torn = F.coalesce("torn", F.array().cast("array<string>"))
+
+    def counts(w: Column) -> Column:
+        if not literal:
+            return F.size(torn) == 0
+        return w["was"].isNull() | w["same"] | ~F.arrays_overlap(F.split(w["was"], "\x00"), torn)
+
     return (
         _null_safe(lines, changed, line)
-        .where(~F.coalesce("torn", F.lit(False)))
+        .withColumn("at", F.transform(F.filter("seen", counts), lambda w: w["at"]))
+        .where(F.size("at") > 0)
         .groupBy(*key, "_item", "n")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_matched"),
@@ -192,13 +205,14 @@ def find_leaks(
     width: int = WIDTH,
     min_share: float = MIN_SHARE,
     min_tokens: int = MIN_TOKENS,
+    literal: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, n_windows, n_matched, n_changed``: benchmark items inside documents.
 
     ``n_changed`` counts slot values that differ from the item's; 0 is a literal copy.
     """
     rows = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
-    pairs = _pairs(_hits(rows, items, width, min_tokens, ["_doc"]), ["_doc"], min_share)
+    pairs = _pairs(_hits(rows, items, width, min_tokens, ["_doc"]), ["_doc"], min_share, literal)
     return pairs.select(
         F.col("_doc").alias("doc_id"),
         F.col("_item").alias("item_id"),
@@ -214,11 +228,12 @@ def drop_leaks(
     width: int = WIDTH,
     min_share: float = MIN_SHARE,
     min_tokens: int = MIN_TOKENS,
+    literal: bool = False,
 ) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     # id and text name a row: rows that share an id and not the text are judged apart
     key = packed(docs, "doc_id", "text").withColumn("_hash", F.xxhash64("_text"))
-    pairs = _pairs(_hits(key, items, width, min_tokens, ["_doc_id", "_hash"]), ["_doc_id", "_hash"], min_share)
+    pairs = _pairs(_hits(key, items, width, min_tokens, ["_doc_id", "_hash"]), ["_doc_id", "_hash"], min_share, literal)
     leaked = land(pairs.select(F.col("_doc_id").alias("_d"), F.col("_hash").alias("_h")).distinct(), "leaks")
     kept = key.join(
         small(leaked, MAX_BROADCAST),

@@ -31,7 +31,7 @@ def op10_pii(spark, sf):
 
 @query
 def op9_benchmark_decontamination(spark, sf):
-    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), literal=True)
 
 
 @query

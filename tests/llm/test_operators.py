@@ -257,6 +257,18 @@ def test_leaks(spark, docs, none, clashing):
     assert decontaminate.find_leaks(docs, items.where("item_id < 0")).count() == 0
 
 
+def test_leaks_with_one_edited_value(spark):
+    item = "A train leaves Boston at 9 and drives 120 km to reach the old harbour of Salem before the tide of 9 comes in"
+    pens = "She buys 2 pens and 2 books and then walks along the quiet river to the old school behind the market"
+    items = spark.createDataFrame([(1, item), (2, pens)], "item_id long, text string")
+    rows = [(1, item.replace("at 9", "at 5")), (2, pens.replace("2 pens", "3 pens").replace("2 books", "5 books")), (3, item), (4, prose(7, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.n_changed) for r in decontaminate.find_leaks(docs, items, literal=True).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 1)}
+    assert got[3, 1][1:] == (got[3, 1][0], 0) and 0 < got[1, 1][1] < got[1, 1][0] and got[1, 1][2] == 1
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, items, literal=True).collect()] == [4]
+
+
 # ---- pieces
 
 
