@@ -39,6 +39,7 @@ DIM = 16
 NOISE = 16
 BATCH = 8192
 RATE = 0.1
+HEAVY = 50  # a triple of more tokens is parted over several rows
 SMOOTH = 0.1
 END = b""  # no word is empty
 LN10 = float(np.log(10.0))
@@ -180,12 +181,18 @@ class LogBilinear:
             at += x.size
 
     def train(self, triples: np.ndarray, weights: np.ndarray, rng: np.random.Generator, state: dict[str, np.ndarray]) -> None:
-        """One pass over rows (a, b, w) with their counts, in an order of ``rng``."""
+        """One pass over rows (a, b, w) with their counts, in an order of ``rng``.
+
+        A heavy triple is parted into rows of ``HEAVY`` tokens at most, which the order spreads over
+        the updates; together they have its full count.
+        """
+        parts = np.maximum(np.ceil(weights / HEAVY), 1).astype(np.int64)
+        triples, weights = np.repeat(triples, parts, axis=0), np.repeat(weights / parts, parts)
         order = rng.permutation(len(triples))
         log_noise = np.log(NOISE * self.noise)
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            (a, b, w), c = triples[rows].T, np.minimum(weights[rows], 50.0)
+            (a, b, w), c = triples[rows].T, weights[rows]
             h, q = self.a[a] + self.b[b], self.q[w]
             data = c * _miss(np.einsum("ij,ij->i", h, q) + self.bias[w] - log_noise[w])
             sampled = rng.choice(len(self.noise), NOISE, p=self.noise)

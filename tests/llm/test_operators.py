@@ -369,6 +369,18 @@ def test_lm_learns_order():
     assert p > 0.5 or np.exp(first[1, 3] + second[2, 3] - log_z[1, 2]) > 0.5
 
 
+def test_lm_trains_with_full_counts(monkeypatch):
+    got = []
+    model = lm_score.LogBilinear(np.full(4, 0.25))
+    step = model._step
+    # the data weight of an update is what its rows carry: with all scores at zero margin it shows in the bias
+    monkeypatch.setattr(lm_score, "_miss", lambda x: np.ones_like(x))
+    monkeypatch.setattr(lm_score, "_sigmoid", lambda x: np.zeros_like(x))
+    monkeypatch.setattr(model, "_step", lambda name, rows, grad, state: (got.append(grad.sum()) if name == "bias" else None, step(name, rows, grad, state)))
+    model.train(np.array([(0, 1, 2), (1, 2, 3)]), np.array([1538.0, 7.0]), np.random.default_rng(1), {})
+    assert math.isclose(sum(got), 1545)
+
+
 # ---- languages, licences, pages
 
 
