@@ -36,9 +36,9 @@ HEAD = 1 << 17
 OWN = 768
 SHARED = 64
 DIM = 16
-NOISE = 16
-BATCH = 8192
-RATE = 0.1
+NOISE = 32
+BATCH = 4096
+RATE = 0.05
 HEAVY = 50  # a triple of more tokens is parted over several rows
 SMOOTH = 0.1
 END = b""  # no word is empty
