@@ -1,12 +1,13 @@
 """Language identification, words first.
 
 Per language the model knows how often each word occurs. A known word scores with its log
-frequency per language; an unseen word backs off to its longest character n-grams that the
-language sample holds, n from ``MAX_GRAM`` down to one, each step back at a cost. The language with
+frequency per language; an unseen word backs off, at each of its places, to the longest character n-gram
+that the language sample holds, n from ``MAX_GRAM`` down to one, each step back at a cost. The language with
 the largest sum wins, the first in name order on a tie; the score is its share of the posterior.
 
 The model is fitted on a bounded sample of labelled rows: per language the ``sample`` rows with
-the lowest hash of id and text among those with crc32(doc_id) mod 4 not 2. Its tables are cut to the most
+the lowest hash of id and text among those with crc32(doc_id) mod 4 not 2, of each the first
+``MAX_TRAINING_CHARS`` characters. Its tables are cut to the most
 frequent ``MAX_WORDS`` words, so its size does not depend on the corpus; prediction looks at
 every row and whole texts, in one scan.
 
@@ -28,6 +29,7 @@ from acctcube.llm.common import id_bucket
 
 SAMPLE = 500
 MAX_WORDS = 200_000
+MAX_TRAINING_CHARS = 200_000  # of a sampled text; whole texts are judged
 MAX_GRAM = 4
 STEP_BACK = 0.63
 UNKNOWN = "und"
@@ -78,15 +80,14 @@ class Model:
         return rows - rows.mean(axis=1, keepdims=True) if len(self.langs) else rows
 
     def _unseen(self, word: str) -> np.ndarray:
-        """The longest known n-gram at every second place."""
-        padded, at, found = f"^{word}$", 0, []
-        while at < len(padded):
+        """The longest known n-gram at every place."""
+        padded, found = f"^{word}$", []
+        for at in range(len(padded)):
             for k in range(min(MAX_GRAM, len(padded) - at), 0, -1):
                 i = self.grams.get(padded[at : at + k])
                 if i is not None:
                     found.append(i)
                     break
-            at += MAX_GRAM // 2
         return self.gram_rows[found].sum(axis=0)
 
     def _slot(self, word: str) -> int:
@@ -124,7 +125,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, max_words: int = MAX_WORDS) -> Mo
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
     chosen = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
     samples: dict[str, list[str]] = {}
-    for lang, text in chosen.select("lang", "text").toLocalIterator():
+    for lang, text in chosen.select("lang", F.substring("text", 1, MAX_TRAINING_CHARS)).toLocalIterator():
         samples.setdefault(lang, []).append(text)
     return Model(samples, max_words)
 

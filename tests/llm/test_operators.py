@@ -398,6 +398,13 @@ def test_language(spark, none):
     assert {r.lang_pred for r in language_id.identify(df, empty).collect()} == {"und"}
 
 
+def test_language_looks_at_every_place(spark, monkeypatch):
+    assert language_id.Model({"a": ["c"], "b": ["d"]}).predict("zzdzdz")[0] == "b"
+    monkeypatch.setattr(language_id, "MAX_TRAINING_CHARS", 12, raising=False)
+    df = spark.createDataFrame([(i, "river stone house", "en") for i in range(8)], "doc_id long, text string, lang string")
+    assert set(language_id.fit(df).words) == {"river", "stone"}
+
+
 def test_language_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = language_id.identify(docs, language_id.fit(docs)).join(docs, "doc_id").where("held_out")
