@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acctcube.llm import decontaminate, html_extract, language_id, license_scan, lm_score, ngram_join, pii, quality_rules, sentencepiece_fst, token_files
+from acctcube.llm import (
+    align_tokens,
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    language_id,
+    license_scan,
+    lm_score,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    sentencepiece_fst,
+    token_files,
+)
 from acctcube.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +83,19 @@ def op1_html_extraction(spark, sf):
 @query
 def op6_lm_score(spark, sf):
     return lm_score.lm_scores(table(spark, sf, "documents"))
+
+
+@query
+def op11_best_fit_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_cross_tokenizer_alignment(spark, sf):
+    docs = table(spark, sf, "documents")
+    return align_tokens.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    return hard_negatives.mine(table(spark, sf, "embeddings"))

@@ -50,3 +50,26 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mean
     and longest_word_chars <= 1000 as kept
 from q
 """
+
+ORACLE["op13_hard_negatives"] = """
+with e as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select a.r as a, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    cast(list_inner_product(a.v, b.v) as bigint) as score
+  from e as a, e as b
+  where a.vec_id % 50 = 0 and a.r <> b.r and len(a.v) = len(b.v)
+), p as (
+  select *, row_number() over (partition by a order by score desc, vec_id) as k from s where same
+), n as (
+  select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+    row_number() over (partition by p.a, p.k order by s.score desc, s.vec_id) as rank
+  from p join s using (a)
+  where p.k <= 5 and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
