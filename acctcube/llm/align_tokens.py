@@ -65,52 +65,47 @@ def pieces(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-def _packed(a: int, b: int) -> int:
-    return a << 32 | b
-
-
 class Windows:
-    """Distinct windows: their number of groups, their groups as text, their linked pairs.
+    """Distinct windows: their number of groups, their groups as text (each with a mark
+    after it), their linked pairs.
 
-    ``at`` finds a window's row by the bytes of its ids; linked pairs are rows of ``pairs``, kept
+    ``at`` finds a window's row by its ids, packed into one number or into bytes; linked pairs are rows of ``pairs``, kept
     for all windows in a row in ``links``, from ``first[window]`` on.
     """
 
     def __init__(self, a_sizes: np.ndarray, b_sizes: np.ndarray):
-        self.a_sizes, self.b_sizes = a_sizes.tolist(), b_sizes.tolist()
-        self.at: dict[bytes, int] = {}
+        self.a_sizes, self.b_sizes = a_sizes, b_sizes
+        ids = range(max(len(a_sizes), len(b_sizes)))
+        # an id as text before the next id of its side, before the other side, before the next group
+        self._shown = np.array([[f"{k}{mark}" for k in ids] for mark in ",|;"], object)
+        self.at: dict[int | bytes, int] = {}
         self.pairs: dict[int, int] = {}
         self.text: list[str] = []
-        self.groups = array("q")
-        self.first = array("q", [0])
-        self.links = array("q")
-
-    def learn(self, key: bytes, a_ids: list[int], b_ids: list[int]) -> int:
-        i = j = i0 = j0 = 0
-        # bytes by which A's token ends after B's
-        ahead = self.a_sizes[a_ids[0]] - self.b_sizes[b_ids[0]]
-        groups = []
-        while True:
-            self.links.append(self.pairs.setdefault(_packed(a_ids[i], b_ids[j]), len(self.pairs)))
-            was = ahead
-            if was <= 0:
-                i += 1
-            if was >= 0:
-                j += 1
-            if was == 0:
-                groups.append(",".join(map(str, a_ids[i0:i])) + "|" + ",".join(map(str, b_ids[j0:j])))
-                i0, j0 = i, j
-                if i == len(a_ids):
-                    break
-            if was <= 0:
-                ahead += self.a_sizes[a_ids[i]]
-            if was >= 0:
-                ahead -= self.b_sizes[b_ids[j]]
-        self.text.append(";".join(groups))
-        self.groups.append(len(groups))
-        self.first.append(len(self.links))
-        self.at[key] = len(self.at)
-        return len(self.at) - 1
+        self.groups, self.first, self.links = array("q"), array("q", [0]), array("q")
+
+    def learn(self, keys: list[int | bytes], a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray) -> None:
+        """Add new windows, their ids in a row on both sides, ``a_n`` and ``b_n`` of them each."""
+        self.at.update(zip(keys, range(len(self.at), len(self.at) + len(keys)), strict=True))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        # between two neighbouring ends, of whichever side, lies one token of each: one link
+        ends = np.union1d(a_ends, b_ends)
+        i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        window = np.repeat(np.arange(len(keys)), a_n)[i]
+        pairs, row = np.unique(a[i].astype(np.int64) << 32 | b[j], return_inverse=True)
+        known = np.array([self.pairs.setdefault(p, len(self.pairs)) for p in pairs.tolist()])
+        self.links.frombytes(known[row].tobytes())
+        n_links = np.bincount(window, minlength=len(keys))
+        self.first.frombytes((self.first[-1] + np.cumsum(n_links)).tobytes())
+        closed = a_ends[i] == b_ends[j]
+        self.groups.frombytes(np.bincount(window[closed], minlength=len(keys)).tobytes())
+        # a group's ids of A, then those of B
+        group = np.concatenate([2 * np.searchsorted(ends[closed], a_ends), 2 * np.searchsorted(ends[closed], b_ends) + 1])
+        order = np.argsort(group, kind="stable")
+        group, ids = group[order], np.concatenate([a, b])[order]
+        last = np.append(group[1:] != group[:-1], True)
+        shown = self._shown[np.where(last, 1 + group % 2, 0), ids].tolist()
+        text_ends = np.cumsum(a_n + b_n).tolist()
+        self.text += ["".join(shown[p:q]) for p, q in zip([0, *text_ends], text_ends, strict=False)]
 
 
 #: Marks ids of B beside ids of A.
@@ -126,14 +121,21 @@ _DDL = (
 )
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` numbers from each ``first`` on, in a row."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1]) + np.repeat(first - ends + n, n)
+
+
 class Aligner:
     """Alignment of batches of texts; one per task."""
 
     def __init__(self, a: ByteBpe, b: Pieces):
         self.a, self.b = a, b
-        self.a_bytes, self.b_bytes = Spelling(a.bytes), Spelling(b.bytes)
-        self.a_sizes, self.b_sizes = self.a_bytes.sizes, self.b_bytes.sizes
+        self.b_bytes = Spelling(b.bytes)
+        self.a_sizes, self.b_sizes = Spelling(a.bytes).sizes, self.b_bytes.sizes
         self.a_spaced, self.b_spaced = (self._spaced(m.bytes, s) for m, s in ((a, self.a_sizes), (b, self.b_sizes)))
+        self.narrow = max(len(self.a_sizes), len(self.b_sizes)) < 1 << 16
         self.windows = Windows(self.a_sizes, self.b_sizes)
 
     @staticmethod
@@ -149,7 +151,8 @@ class Aligner:
         whole = " " + text
         a, b = self.a.ids(whole), self.b.ids(text)
         data = whole.encode()
-        return (a, b) if self.a_bytes.spell(a) == data == self.b_bytes.spell(b) else None
+        # byte-level ids give back every text, so their number of bytes says enough
+        return (a, b) if self.a_sizes[a].sum() == len(data) and self.b_bytes.spell(b) == data else None
 
     def _cuts(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ends of the windows in both id rows; ``a_ends`` marks the last ids of texts."""
@@ -182,26 +185,47 @@ class Aligner:
         for k, x in enumerate(held):
             own = found[at : at + per_text[k]].tolist()
             at += per_text[k]
-            text = ";".join([w.text[f] for f in own])
+            text = "".join([w.text[f] for f in own])[:-1]
             n_groups = sum([w.groups[f] for f in own])
             span = slice(pair_ends[k], pair_ends[k + 1])
             digest = hashlib.sha256(text.encode()).hexdigest()
             rows[x] = (n_a[k], n_b[k], n_groups, int(n_links[k]), digest, pairs[span], times[span], text)
         return rows
 
+    @staticmethod
+    def _numbers(a: np.ndarray, b: np.ndarray, i0: np.ndarray, i: np.ndarray, j0: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Windows of one or two ids of each side as one number; ids are numbered from 1, 0 is none."""
+        first, second = (x.astype(np.uint64) + np.uint64(1) for x in (a, b))
+        parts = (
+            first[i0], np.where(i - i0 > 1, first[i - 1], np.uint64(0)),
+            second[j0], np.where(j - j0 > 1, second[j - 1], np.uint64(0)),
+        )
+        out = np.zeros(len(i), np.uint64)
+        for x in parts:
+            out = out << np.uint64(16) | x
+        return out
+
     def _find(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """The row in ``windows`` of each window."""
-        w, a_bytes, b_bytes = self.windows, a.astype("<u4").tobytes(), (b.astype("<u4") | _SIDE).tobytes()
-        a_ends, b_ends = (4 * i).tolist(), (4 * j).tolist()
-        a_starts, b_starts = [0, *a_ends[:-1]], [0, *b_ends[:-1]]
-        keys = [a_bytes[p:q] + b_bytes[r:s] for p, q, r, s in zip(a_starts, a_ends, b_starts, b_ends, strict=True)]
+        w, n = self.windows, len(i)
+        i0, j0 = np.append(0, i[:-1]), np.append(0, j[:-1])
+        keys = np.empty(n, object)
+        # up to two ids of each side fit into one number, if they have 16 bits
+        short = (i - i0 <= 2) & (j - j0 <= 2) & self.narrow
+        at = np.flatnonzero(short)
+        keys[at] = self._numbers(a, b, i0[at], i[at], j0[at], j[at]).tolist()
+        at = np.flatnonzero(~short)
+        a_bytes, b_bytes = a.astype("<u4").tobytes(), (b.astype("<u4") | _SIDE).tobytes()
+        bounds = [(4 * x[at]).tolist() for x in (i0, i, j0, j)]
+        keys[at] = [a_bytes[p:q] + b_bytes[r:s] for p, q, r, s in zip(*bounds, strict=True)]
+        keys = keys.tolist()
         found = list(map(w.at.get, keys))
-        for k, f in enumerate(found):
-            if f is None:
-                key = keys[k]
-                if (known := w.at.get(key)) is None:
-                    known = w.learn(key, a[a_starts[k] // 4 : i[k]].tolist(), b[b_starts[k] // 4 : j[k]].tolist())
-                found[k] = known
+        if None in found:
+            new = {keys[k]: k for k, f in enumerate(found) if f is None}
+            at = np.fromiter(new.values(), np.int64, len(new))
+            a_n, b_n = (i - i0)[at], (j - j0)[at]
+            w.learn(list(new), a[_ranges(i0[at], a_n)], a_n, b[_ranges(j0[at], b_n)], b_n)
+            found = list(map(w.at.get, keys))
         return np.array(found)
 
     def _pairs(self, found: np.ndarray, per_text: np.ndarray) -> tuple:
@@ -209,8 +233,7 @@ class Aligner:
         w = self.windows
         first, links = np.array(w.first), np.array(w.links)
         n = (first[1:] - first[:-1])[found]
-        ends = np.cumsum(n)
-        every = links[np.arange(ends[-1]) - np.repeat(ends - n - first[found], n)]
+        every = links[_ranges(first[found], n)]
         text = np.repeat(np.repeat(np.arange(len(per_text)), per_text), n)
         key, times = np.unique(text << 40 | every, return_counts=True)
         pair_ends = np.searchsorted(key >> 40, np.arange(len(per_text) + 1))
