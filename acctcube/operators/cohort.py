@@ -102,17 +102,23 @@ def student_level_fill(
     state_day_key: str = "student_id",
     thresholds: Mapping[str, int] = BENCHMARKS,
     keys_present: bool = False,
+    order: Order = SUBJECT_FIRST,
+    names: Sequence[str] = (),
 ) -> DataFrame:
     """Graduates with the crosswalk's best record; each score still missing is then
     filled from the first state-day value that is not missing.  Flags are never missing.
+
+    ``names`` are further state-day columns, such as the student's names: the first value in
+    ``order`` that is not missing, or the cohort's own where it has one.
     """
     scores = SCORES
     kept = graduates(cohort)
     best = best_record(crosswalk.select(crosswalk_key, *scores), crosswalk_key, SUBJECT_FIRST)
     students = attach(kept, best, cohort_key, crosswalk_key, keys_present)
+    taken = [*scores, *names]
     day = first_nonmissing(
-        exclude_location(state_day, keep_missing=True), state_day_key, SUBJECT_FIRST, scores
-    ).withColumnsRenamed({c: f"day_{c}" for c in scores})
+        exclude_location(state_day, keep_missing=True), state_day_key, order, taken
+    ).withColumnsRenamed({c: f"day_{c}" for c in taken})
     joined = attach(students, day, cohort_key, state_day_key, keys_present)
-    filled = joined.withColumns({c: F.coalesce(c, f"day_{c}") for c in scores})
-    return benchmark_flags(filled.drop(*[f"day_{c}" for c in scores]), thresholds, "zero")
+    filled = joined.withColumns({c: F.coalesce(c, f"day_{c}") if c in joined.columns else F.col(f"day_{c}") for c in taken})
+    return benchmark_flags(filled.drop(*[f"day_{c}" for c in taken]), thresholds, "zero")

@@ -1,14 +1,78 @@
-"""Compare our aggregate with an independently made one."""
+"""Compare our aggregate with an independently made one.
+
+Both tables are stacked with a mark of their side and counted by key and values. Rows that
+are equal on both sides cancel there, already before the shuffle, and a key that many rows share,
+the missing one too, is dealt by its values. Only what is left is paired by key; there is no
+join of the two tables.
+
+Tables with one row per key give what a full join on the keys gives, missing keys matching.
+Where a key has several rows on a side, equal rows belong together and the others are paired
+one to one in a fixed order, not each with each; rows that find no partner stay alone.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acctcube.functions import differs
-from acctcube.operators.joins import anti_join, full_join
+from acctcube.operators.joins import anti_join
+
+#: Parts into which the differing rows of one key are dealt.
+PARTS = 64
+_RUN = 4096
+
+
+def _repeat(df: DataFrame, n: Column) -> DataFrame:
+    """Each row ``n`` times, without an array of that length."""
+    runs = df.withColumn("_n", n).withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _RUN))))
+    here = F.least(F.lit(_RUN), F.col("_n") - F.col("_run") * _RUN)
+    return runs.withColumn("_copy", F.explode(F.sequence(F.lit(1), here.cast("int")))).drop("_n", "_run", "_copy")
+
+
+def _nth(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``_nth`` row of its key and side, counted within parts of equal hash, part by part.
+
+    A part of a hot key is sorted by itself; of each part only its size is looked at by the others.
+    """
+    in_key, in_part = [*keys, "_ours"], [*keys, "_ours", "_part"]
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*values), F.lit(PARTS)))
+    sizes = dealt.groupBy(*in_part).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*in_key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    starts = starts.select(*[F.col(c).alias(f"_of{c}") for c in in_part], "_before")
+    in_order = Window.partitionBy(*in_part).orderBy(*values)
+    numbered = dealt.withColumn("_row", F.row_number().over(in_order))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in in_part])
+    return numbered.join(starts, same).withColumn("_nth", F.col("_before") + F.col("_row"))
+
+
+def paired(
+    ours: DataFrame, theirs: DataFrame, keys: Sequence[str], columns: Mapping[str, str], equal: bool = True
+) -> DataFrame:
+    """``keys``, then ``_x`` and ``_y``: structs of our columns and of theirs under our names.
+
+    ``_x`` is missing in a row of theirs alone and ``_y`` in one of ours. Without ``equal``
+    the pairs of equal rows are left out.
+    """
+    keys, values = list(keys), list(columns)
+    a = ours.select(*keys, *values, F.lit(True).alias("_ours"))
+    b = theirs.select(*keys, *[F.col(t).alias(o) for o, t in columns.items()], F.lit(False).alias("_ours"))
+    net = a.unionByName(b).groupBy(*keys, *values).agg(
+        F.count_if("_ours").alias("_here"), F.count_if(~F.col("_ours")).alias("_there")
+    )
+    row = F.struct(*values)
+    left = net.where(F.col("_here") != F.col("_there")).withColumn("_ours", F.col("_here") > F.col("_there"))
+    left = _repeat(left, F.abs(F.col("_here") - F.col("_there"))).drop("_here", "_there")
+    sides = [F.max(F.when(F.col("_ours") == own, row)).alias(name) for own, name in ((True, "_x"), (False, "_y"))]
+    pairs = _nth(left, keys, values).groupBy(*keys, "_nth").agg(*sides).drop("_nth")
+    if not equal:
+        return pairs
+    both = F.least("_here", "_there")
+    alike = _repeat(net.where(both > 0), both).select(*keys, row.alias("_x"), row.alias("_y"))
+    return alike.unionByName(pairs)
 
 
 def reconcile_tolerance(
@@ -18,9 +82,10 @@ def reconcile_tolerance(
 
     Rows on one side only have a missing difference and fall out.
     """
-    both = full_join(ours.select(*keys, *columns), theirs.select(*keys, *columns), keys)
-    far = [F.abs(F.col(f"{c}_x") - F.col(f"{c}_y")) > tolerance for c in columns]
-    return both.where(reduce(lambda a, b: a | b, far))
+    both = paired(ours, theirs, keys, {c: c for c in columns}, equal=False)
+    far = [F.abs(F.col(f"_x.{c}") - F.col(f"_y.{c}")) > tolerance for c in columns]
+    sides = [F.col(f"{s}.{c}").alias(f"{c}{s}") for s in ("_x", "_y") for c in columns]
+    return both.where(reduce(lambda a, b: a | b, far)).select(*keys, *sides)
 
 
 def reconcile_exact(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
@@ -32,13 +97,13 @@ def reconcile_side_by_side(
     ours: DataFrame, theirs: DataFrame, keys: Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:
     """All rows of both, each of our columns next to theirs (ours -> theirs)."""
-    both = full_join(ours.select(*keys, *columns), theirs.select(*keys, *columns.values()), keys)
-    return both.select(*keys, *[c for pair in columns.items() for c in pair])
+    both = paired(ours, theirs, keys, columns)
+    return both.select(*keys, *[c for o, t in columns.items() for c in (F.col(f"_x.{o}").alias(o), F.col(f"_y.{o}").alias(t))])
 
 
 def mismatch_counts(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per column, the number of rows that differ; two missing values are equal."""
-    both = full_join(ours.select(*keys, *columns), theirs.select(*keys, *columns), keys)
-    counts = both.agg(*[F.count_if(differs(F.col(f"{c}_x"), F.col(f"{c}_y"))).alias(c) for c in columns])
+    both = paired(ours, theirs, keys, {c: c for c in columns}, equal=False)
+    counts = both.agg(*[F.count_if(differs(F.col(f"_x.{c}"), F.col(f"_y.{c}"))).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_mismatch")) for c in columns])
     return counts.select(F.inline(rows))

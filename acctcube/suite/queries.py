@@ -596,7 +596,8 @@ def student_file(spark, sf):
 
 @query
 def label_names(spark, sf):
-    cube = files.post_appeals_cube(appealed(spark, sf))
+    # landed, as the run that publishes it does: three branches of the plan read it
+    cube = save_table(files.post_appeals_cube(appealed(spark, sf)), scratch_path(spark, "cube"))
     return lb.label_names(cube, t.school_names(spark, sf), IF_MISSING)
 
 
