@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -41,8 +42,19 @@ from acctcube.operators import appeals as ap, best, cohort as co, cube as cb, jo
 from acctcube.operators import labels as lb, measures as ms, reconcile as rc, release as rl, reports as rp
 from acctcube.operators.carry import carry_forward
 from acctcube.plans import files
+from acctcube.plans.publish import publish, published as published_run
 from acctcube.session import scratch_path
-from acctcube.sources import read_csv, read_fixed_width, save_table, write_csv, write_split
+from acctcube.sources import (
+    read_csv,
+    read_csv_checked,
+    read_fixed_width,
+    read_in_order,
+    read_landed,
+    save_table,
+    write_csv,
+    write_named,
+    write_split,
+)
 from acctcube.suite import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +180,72 @@ def sink_split_by_key(spark, sf):
     return read_csv(spark, path, wanted).where(F.col("system_is") == F.col("system")).drop("system_is")
 
 
+@query
+def src_fixed_width_latin(spark, sf):
+    path = scratch_path(spark, "latin-records")
+    t.latin_records(spark, sf).write.text(path)
+    return read_fixed_width(spark, path, t.LATIN_LAYOUT, charset="ISO-8859-1", status="record_status")
+
+
+@query
+def src_csv_rejects(spark, sf):
+    path = scratch_path(spark, "scores-csv")
+    write_csv(t.scores_with_bad_cells(spark, sf), path)
+    rows, rejects = read_csv_checked(spark, path, "student_id bigint, english int, math int, file string")
+    kept = rows.select(F.lit("kept").alias("column_name"), F.concat_ws("/", "student_id", "english", "math", "file").alias("raw"))
+    return rejects.where("record > 0").select("column_name", "raw").unionByName(kept)
+
+
+@query
+def save_replace(spark, sf):
+    path = scratch_path(spark, "students")
+    save_table(t.cohort(spark, sf), path)
+    # each save replaces the table it reads
+    save_table(co.graduates(read_landed(spark, path)).withColumn("school", F.col("school") * 10), path)
+    save_table(read_landed(spark, path).withColumn("saved", F.lit(2)), path)
+    return read_landed(spark, path)
+
+
+@query
+def sink_named_files(spark, sf):
+    df, path = t.cohort(spark, sf), scratch_path(spark, "cohort-named")
+    write_named(df, path, "system", "cohort_{key}.csv")
+    # the parts of a key too large for one task are numbered
+    file = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    one = F.regexp_replace(file, r"^(cohort_\d+)(_\d+)?\.csv$", "$1.csv")
+    return read_csv(spark, path, df.schema).withColumn("file", one)
+
+
+@query
+def sink_ordered_csv(spark, sf):
+    rows, path = ms.score_summary().by(students(spark, sf), "system", "school"), scratch_path(spark, "ordered-csv")
+    write_csv(rows, path, order=["-avg_composite", "system", "school"])
+    return read_in_order(spark.read.option("header", True).schema(rows.schema).csv(path), "position")
+
+
+def _published(spark, sf):
+    out = scratch_path(spark, "published")
+    names = t.school_names(spark, sf), t.system_names(spark, sf)
+    publish(t.cohort(spark, sf), decoded(spark, sf).drop("test_location"), approved(spark, sf), *names, out, stamp="2017jul11")
+    return published_run(spark, out)
+
+
+@query
+def publish_outputs(spark, sf):
+    def rows(name, path):
+        csv = spark.read.option("header", True).csv
+        found = spark.read.parquet(path) if name in ("students", "cube") else csv(path)
+        return found.agg(F.lit(path.rsplit("/", 1)[1]).alias("output"), F.count(F.lit(1)).alias("n"))
+
+    return reduce(DataFrame.unionByName, [rows(n, p) for n, p in _published(spark, sf).items()])
+
+
+@query
+def publish_release_district(spark, sf):
+    wanted = release_district(spark, sf).schema
+    return read_csv(spark, _published(spark, sf)["release_district"], wanted)
+
+
 # ---- filters and projections -----------------------------------------------
 
 
@@ -351,6 +429,22 @@ def first_nonnull_per_column(spark, sf):
     return best.first_nonmissing(rows, "student_id", best.SUBJECT_FIRST, SCORES)
 
 
+MIXED = ["-file", "test_date", "-composite", "math"]
+BY_FILE = ["file", "-composite", "test_date"]
+NAMES = ["first_name", "last_name"]
+
+
+@query
+def first_nonnull_mixed_order(spark, sf):
+    rows = co.exclude_location(t.named_attempts(spark, sf), keep_missing=True)
+    return best.first_nonmissing(rows, "student_id", MIXED, [*NAMES, *SCORES])
+
+
+@query
+def first_rows(spark, sf):
+    return best.first_rows(t.attempts(spark, sf), 20, ["-composite", "test_date"])
+
+
 @query
 def distinct_values(spark, sf):
     return t.cohort(spark, sf).where(F.col("race_ethnicity").isNotNull()).select("race_ethnicity").distinct()
@@ -581,6 +675,12 @@ def student_level_fill(spark, sf):
     return students_2016(spark, sf)
 
 
+@query
+def student_level_fill_names(spark, sf):
+    day = t.named_attempts(spark, sf)
+    return co.student_level_fill(t.cohort(spark, sf), t.score_crosswalk(spark, sf), day, order=BY_FILE, names=NAMES)
+
+
 @query
 def appeal_indicators(spark, sf):
     return appealed(spark, sf)
@@ -659,6 +759,11 @@ def mismatch_counts(spark, sf):
     return rc.mismatch_counts(own, other, SCHOOL_KEYS, [*COMPARED, "enrolled", "valid_tests"])
 
 
+@query
+def mismatch_hot_key(spark, sf):
+    return rc.mismatch_counts(t.keyed_scores(spark, sf), t.keyed_scores(spark, sf, changed=True), ["k"], ["english"])
+
+
 # ---- release ---------------------------------------------------------------
 
 

@@ -521,6 +521,17 @@ def what_if_sql(system: int = 7) -> str:
     )
 
 
+NAMES = ["first_name", "last_name"]
+NAMED = """select *, case when science > 9 then 'Last' || math end as last_name,
+  case when reading > 12 then 'First' || english end as first_name from att where test_location is distinct from 'M'"""
+
+
+def first_sql(columns: list[str], order: str) -> str:
+    """The first value that is not missing of each column, of equal places the largest."""
+    firsts = [f"first({c} order by {order}, {c} desc) filter (where {c} is not null) as {c}" for c in columns]
+    return f"select student_id, {', '.join(firsts)} from nam group by student_id"
+
+
 def oracle() -> dict[str, str]:
     o: dict[str, str] = {}
     coh = with_views("select * from coh", "coh")
@@ -541,6 +552,24 @@ def oracle() -> dict[str, str]:
     o["sink_csv"] = with_views("select * from att", "att")
     o["sink_spreadsheet_csv"] = with_views("select * from trk", "trk")
 
+    o["src_fixed_width_latin"] = """select trim(substr(v, 1, 10)) as last, trim(substr(v, 11, 10)) as first,
+      try_cast(trim(substr(v, 21, 2)) as int) as score, trim(substr(v, 23, 4)) as code,
+      case when trim(v) = '' then 'blank' when length(v) < 26 then 'short' when length(v) > 26 then 'long' else 'ok' end as record_status
+      from (select case l_linenumber when 2 then substr(w, 1, 21) when 3 then substr(w, 1, 15) when 4 then w || 'é2'
+          when 5 then repeat(' ', 26) when 6 then '' else w end as v
+        from (select l_linenumber, rpad('Läst' || l_suppkey, 10, ' ') || rpad('Né' || l_partkey % 1000, 10, ' ')
+          || lpad(cast(1 + l_partkey % 36 as varchar), 2, ' ') || lpad(cast(l_suppkey % 97 as varchar), 4, 'ö') as w from lineitem))"""
+    o["src_csv_rejects"] = with_views(
+        """select 'math' as column_name, math || '*' as raw from att where math > 33
+        union all select 'english', 'n/a' from att where english = 7
+        union all select 'kept', concat_ws('/', student_id, case when english not in (7, 8) then english end,
+          case when math <= 33 then math end, file) from att""", "att")
+    o["save_replace"] = with_views("select * replace (school * 10 as school), 2 as saved from kept", "kept")
+    o["sink_named_files"] = with_views("select *, 'cohort_' || system || '.csv' as file from coh", "coh")
+    o["sink_ordered_csv"] = with_views(
+        "select *, row_number() over (order by avg_composite desc nulls last, system nulls last, school nulls last) - 1 as position"
+        f" from ({rounded(group_sql(avg_sql() | score_sql(), 'stu', ['system', 'school']))})", "stu")
+
     o["cohort_filter"] = with_views("select * from kept", "kept")
     o["exclude_location_r"] = with_views("select * from att where test_location <> 'M'", "att")
     o["exclude_location_stata"] = with_views("select * from att where test_location <> 'M' or test_location is null", "att")
@@ -612,6 +641,12 @@ def oracle() -> dict[str, str]:
     o["best_attempt"] = with_views("select * from bst", "bst")
     o["best_attempt_alt_order"] = with_views("select * from alt", "alt")
     o["first_nonnull_per_column"] = with_views("select * from fnn", "fnn")
+    mixed = "file desc nulls last, test_date nulls last, composite desc nulls last, math nulls last"
+    o["first_nonnull_mixed_order"] = with_views(
+        f"select * from ({first_sql([*NAMES, *SCORES], mixed)})", "att", extra={"nam": NAMED})
+    o["first_rows"] = with_views(
+        """select * from att order by composite desc nulls last, test_date nulls last, student_id nulls last, english nulls last,
+        math nulls last, reading nulls last, science nulls last, file nulls last, test_location nulls last limit 20""", "att")
     o["distinct_values"] = with_views("select distinct race_ethnicity from coh where race_ethnicity is not null", "coh")
     everyone = {"All Students": "true"}
     o["rollup_levels"] = with_views(cube_sql(score_sql(), avg_sql(), "stu", subgroups=everyone, race=False), "stu")
@@ -715,6 +750,12 @@ def oracle() -> dict[str, str]:
         from kept k left join top b on k.student_key = b.student_id""", "att", "mat", "kept",
         extra={"every_": every, "top": top})
     o["student_level_fill"] = with_views("select * from fil", "fil")
+    by_file = "file nulls last, composite desc nulls last, test_date nulls last"
+    o["student_level_fill_names"] = with_views(
+        f"""select *, {flags_sql('zero')} from (select k.*, {', '.join(f'coalesce(x.{c}, d.{c}) as {c}' for c in SCORES)},
+          {', '.join(f'd.{c}' for c in NAMES)} from kept k left join alt_xw x on k.student_key = x.student_id
+          left join day_ d on k.student_key = d.student_id)""", "att", "kept", "alt_xw",
+        extra={"nam": NAMED, "day_": first_sql([*NAMES, *SCORES], by_file)})
     o["appeal_indicators"] = with_views("select * from ind", "ind")
 
     o["student_file"] = with_views(
@@ -765,6 +806,16 @@ def oracle() -> dict[str, str]:
             from own a full join oth b on a.system = b.system and a.school = b.school and a.subgroup is not distinct from b.subgroup"""
             for x, y in five_cols.items()), "ind", extra=own_views("school"))
 
+    o["mismatch_hot_key"] = with_views(
+        """select 'english' as column_name, cast(sum(greatest(ours, theirs)) as bigint) as n_mismatch from (
+          select k, count(*) filter (where side = 1) as ours, count(*) filter (where side = 2) as theirs from (
+            select *, 1 as side from (select * from x except all select * from y)
+            union all select *, 2 from (select * from y except all select * from x)) group by k)""", "att",
+        extra={
+            "x": "select case when student_id % 3 <> 0 then student_id % 40 end as k, english from att",
+            "y": """select case when student_id % 3 <> 0 then student_id % 40 end as k,
+              case when math % 7 = 0 then english + 100 else english end as english from att where student_id % 40 <> 5"""})
+
     sch = {"District": "system", "School": "school", "Subgroup": "subgroup"}
     o["suppress_release"] = with_views(
         release_sql(sch, "pub", 5, 95, 30, rate=True), "ind", extra=own_views("school"))
@@ -791,6 +842,14 @@ def oracle() -> dict[str, str]:
                     "(select * from pub left join xsch using (system, school))", 5, 95, where=IN_SUBGROUPS),
         "ind", "xsch", extra=own_views("school"))
 
+    o["publish_release_district"] = o["release_district"]
+    stamped = {
+        "students": o["appeal_indicators"], "cube": o["subgroup_cube_post_appeals"], "student_file": o["student_file"],
+        "base_file": o["label_names"], **{f"release_{x}": o[f"release_{x}"] for x in ("state", "district", "school")},
+    }
+    o["publish_outputs"] = " union all ".join(
+        f"select '{name}_2017jul11' as output, count(*) as n from ({sql})" for name, sql in stamped.items())
+
     o["missing_id_report"] = with_views(
         f"""select system, n, n_missing_id, {even1('p')} as pct from (
         select system, count(*) as n, count(*) filter (where state_stud_id is null) as n_missing_id,

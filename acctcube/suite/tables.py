@@ -315,3 +315,53 @@ def _lines(rows: DataFrame, layout: Sequence[Field], cells: dict[str, Column]) -
         line.append(F.concat(cells[name], F.repeat(F.lit(" "), pad)))
         used = last
     return rows.select(F.concat(*line).alias("value"))
+
+
+def named_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Score attempts with the student's names, which some records lack."""
+    return attempts(spark, sf).withColumns(
+        {
+            "last_name": F.when(F.col("science") > 9, F.concat(F.lit("Last"), F.col("math").cast("string"))),
+            "first_name": F.when(F.col("reading") > 12, F.concat(F.lit("First"), F.col("english").cast("string"))),
+        }
+    )
+
+
+LATIN_LAYOUT: list[Field] = [("last", 1, 10, "text"), ("first", 11, 20, "text"), ("score", 21, 22, "int"), ("code", 23, 26, "text")]
+
+
+def latin_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of 26 bytes in Latin-1; some are cut off, too long or blank."""
+    supp, part, line = (F.col(f"l_{c}") for c in ("suppkey", "partkey", "linenumber"))
+    whole = F.concat(
+        F.rpad(F.concat(F.lit("Läst"), supp.cast("string")), 10, " "),
+        F.rpad(F.concat(F.lit("Né"), (part % 1000).cast("string")), 10, " "),
+        F.lpad((1 + part % 36).cast("string"), 2, " "),
+        F.lpad((supp % 97).cast("string"), 4, "ö"),
+    )
+    text = (
+        F.when(line == 2, F.substring(whole, 1, 21))
+        .when(line == 3, F.substring(whole, 1, 15))
+        .when(line == 4, F.concat(whole, F.lit("é2")))
+        .when(line == 5, F.rpad(F.lit(""), 26, " "))
+        .when(line == 6, "")
+        .otherwise(whole)
+    )
+    return table(spark, sf, "lineitem").select(F.encode(text, "ISO-8859-1").cast("string").alias("value"))
+
+
+def scores_with_bad_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores as text, some of them not numbers."""
+    bad_math = F.when(F.col("math") > 33, F.concat(F.col("math").cast("string"), F.lit("*"))).otherwise(F.col("math").cast("string"))
+    bad_english = F.when(F.col("english") == 7, "n/a").when(F.col("english") != 8, F.col("english").cast("string"))
+    rows = attempts(spark, sf)
+    return rows.select("student_id", bad_english.alias("english"), bad_math.alias("math"), "file")
+
+
+def keyed_scores(spark: SparkSession, sf: str, changed: bool = False) -> DataFrame:
+    """Scores under a few keys, a third of them under the missing one; some changed, one key left out."""
+    rows = attempts(spark, sf)
+    score = F.when((F.col("math") % 7 == 0) & F.lit(changed), F.col("english") + 100).otherwise(F.col("english"))
+    kept = rows.where(~F.lit(changed) | (F.col("student_id") % 40 != 5))
+    key = F.when(F.col("student_id") % 3 != 0, F.col("student_id") % 40)
+    return kept.select(key.alias("k"), score.alias("english"))
