@@ -5,9 +5,9 @@ capitalised word after another word) are replaced by typed placeholders, the res
 of ``width`` tokens of the benchmark, once with names as placeholders and once as words, are
 hash-joined with the windows of the documents (names as placeholders only). Along one alignment
 of an item and a document every slot value of the item must have one value in the document; the
-consistent alignments together must cover ``min_share`` of the item's windows. With ``literal``, as the
-query and the pipeline have it, a value that has several drops only the windows that hold it: windows
-without slots and windows whose slot values are the item's count whatever the rest of the alignment says.
+alignments together must cover ``min_share`` of the item's windows; a value that has several drops
+only the windows that hold it: windows without slots and windows whose slot values are the item's
+count whatever the rest of the alignment says.
 
 Windows of the benchmark are the small side: they are broadcast up to ``MAX_BROADCAST`` windows
 (a hash and three integers each), else the planner shuffles. A first pass streams the hashes of
@@ -20,8 +20,8 @@ Defined results:
 * items with fewer than ``min_tokens`` tokens cannot be told from chance and match nothing; items
   of up to ``width`` tokens are one window of their own length;
 * missing and empty texts match nothing; a missing id is an id like any other;
-* rows with the same id and text count once in ``find_leaks``; ``drop_leaks`` keeps or drops them
-  alike; extra columns are not looked at;
+* texts are judged by themselves: rows that share an id and not the text do not add up; rows with the same
+  id and text count once in ``find_leaks``; ``drop_leaks`` keeps or drops them alike; extra columns are not looked at;
 * an empty table of documents or items gives no leak.
 """
 
@@ -150,7 +150,7 @@ def _hits(docs: DataFrame, items: DataFrame, width: int, min_tokens: int, key: l
     return t.select(*key, F.inline(F.concat(*(_windows(F.col("_t"), k, "slot") for k in lengths)))).join(side, "h")
 
 
-def _pairs(hits: DataFrame, key: list[str], min_share: float, literal: bool) -> DataFrame:
+def _pairs(hits: DataFrame, key: list[str], min_share: float) -> DataFrame:
     """Items found in documents, over the windows that count."""
     line = [*key, "_item", "line"]
     hits = hits.withColumn("line", F.col("pos") - F.col("at"))
@@ -173,8 +173,6 @@ def _pairs(hits: DataFrame, key: list[str], min_share: float, literal: bool) ->
     torn = F.coalesce("torn", F.array().cast("array<string>"))
 
     def counts(w: Column) -> Column:
-        if not literal:
-            return F.size(torn) == 0
         return w["was"].isNull() | w["same"] | ~F.arrays_overlap(F.split(w["was"], "\x00"), torn)
 
     return (
@@ -205,14 +203,14 @@ def find_leaks(
     width: int = WIDTH,
     min_share: float = MIN_SHARE,
     min_tokens: int = MIN_TOKENS,
-    literal: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, n_windows, n_matched, n_changed``: benchmark items inside documents.
 
     ``n_changed`` counts slot values that differ from the item's; 0 is a literal copy.
     """
-    rows = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
-    pairs = _pairs(_hits(rows, items, width, min_tokens, ["_doc"]), ["_doc"], min_share, literal)
+    text = F.col("text")
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
+    pairs = _pairs(_hits(rows, items, width, min_tokens, ["_doc", "_hash"]), ["_doc", "_hash"], min_share)
     return pairs.select(
         F.col("_doc").alias("doc_id"),
         F.col("_item").alias("item_id"),
@@ -228,12 +226,11 @@ def drop_leaks(
     width: int = WIDTH,
     min_share: float = MIN_SHARE,
     min_tokens: int = MIN_TOKENS,
-    literal: bool = False,
 ) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     # id and text name a row: rows that share an id and not the text are judged apart
     key = packed(docs, "doc_id", "text").withColumn("_hash", F.xxhash64("_text"))
-    pairs = _pairs(_hits(key, items, width, min_tokens, ["_doc_id", "_hash"]), ["_doc_id", "_hash"], min_share, literal)
+    pairs = _pairs(_hits(key, items, width, min_tokens, ["_doc_id", "_hash"]), ["_doc_id", "_hash"], min_share)
     leaked = land(pairs.select(F.col("_doc_id").alias("_d"), F.col("_hash").alias("_h")).distinct(), "leaks")
     kept = key.join(
         small(leaked, MAX_BROADCAST),

@@ -6,9 +6,9 @@ that the language sample holds, n from ``MAX_GRAM`` down to one, each step back
 the largest sum wins, the first in name order on a tie; the score is its share of the posterior.
 
 The model is fitted on a bounded sample of labelled rows: per language the ``sample`` rows with
-the lowest hash of id and text among those with crc32(doc_id) mod 4 not 2, of each the first
-``MAX_TRAINING_CHARS`` characters. Its tables are cut to the most
-frequent ``MAX_WORDS`` words, so its size does not depend on the corpus; prediction looks at
+the lowest hash of id and text (repeated rows once) among those with crc32(doc_id) mod 4 not 2, of each the first
+``max_chars`` characters. Its tables are cut to the most
+frequent ``max_words`` words, so its size does not depend on the corpus; prediction looks at
 every row and whole texts, in one scan.
 
 Defined results: a missing text or one without letters is ``und`` with score 0; without labelled
@@ -18,10 +18,10 @@ extra columns are not looked at; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
+import regex
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -29,13 +29,13 @@ from acctcube.llm.common import id_bucket
 
 SAMPLE = 500
 MAX_WORDS = 200_000
-MAX_TRAINING_CHARS = 200_000  # of a sampled text; whole texts are judged
+MAX_CHARS = 200_000  # of a sampled text; whole texts are judged
 MAX_GRAM = 4
 STEP_BACK = 0.63
 UNKNOWN = "und"
 CACHE = 400_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def word_list(text: str | None) -> list[str]:
@@ -118,14 +118,20 @@ def held_out() -> Column:
     return F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, max_words: int = MAX_WORDS) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, max_words: int = MAX_WORDS, max_chars: int = MAX_CHARS) -> Model:
     """The model of the rows of ``docs`` that are not held out and have a language and a text."""
-    rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    # the rank keeps ``sample`` rows per language and task before anything is shuffled
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    chosen = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+    part = F.substring("text", 1, max_chars)
+    rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # rows are chosen by hash and id; their texts are read afterwards
+    hashed = rows.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("h"), part.alias("text"))
+    order = W.partitionBy("lang").orderBy("h", "doc_id")
+    places = hashed.drop("text").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+    # ``sample`` rows per language; rows with the same id and text are one
+    same = F.col("c.lang").eqNullSafe(F.col("r.lang")) & F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.h") == F.col("r.h"))
+    chosen = F.broadcast(places.select("lang", "doc_id", "h").alias("c"))
+    found = hashed.alias("r").join(chosen, same, "left_semi").distinct()
     samples: dict[str, list[str]] = {}
-    for lang, text in chosen.select("lang", F.substring("text", 1, MAX_TRAINING_CHARS)).toLocalIterator():
+    for lang, text in found.select("lang", "text").orderBy("lang", "h", "doc_id", "text").toLocalIterator():
         samples.setdefault(lang, []).append(text)
     return Model(samples, max_words)
 

@@ -352,23 +352,18 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component: the one with the least id, and among rows that
-    share it the first by text. Rows without words or without an id stay."""
+    share it the first by text; a missing id comes last. Rows without words stay."""
     whole = packed(docs, "doc_id", "text")
-    found = ngram_components(docs.select("doc_id", "text"), n, percent)
-    gone = land(
-        found.where((F.col("n_shingles") > 0) & (F.col("component_id") != F.col("doc_id")))
-        .select(F.col("doc_id").alias("_gone"))
-        .distinct(),
-        "gone",
-    )
-    left = whole.join(small(gone, MAX_BROADCAST), F.col("_doc_id") == F.col("_gone"), "left_anti")
-    ids = docs.select(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    if ids[0] == ids[1]:
-        return left.select("_row.*")
-    from pyspark.sql import Window as W
-
-    order = W.partitionBy("_doc_id").orderBy(F.col("_text").asc_nulls_last())
-    words = F.coalesce(F.col("_text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    same = left.where(F.col("_doc_id").isNotNull() & words).withColumn("_k", F.row_number().over(order)).where("_k = 1")
-    rest = left.where(F.col("_doc_id").isNull() | ~words)
-    return same.drop("_k").unionByName(rest).select("_row.*")
+    counted = docs.select(F.count("*"), F.count_distinct("doc_id")).first()
+    if counted[0] == counted[1]:
+        found = ngram_components(docs.select("doc_id", "text"), n, percent)
+        gone = found.where((F.col("n_shingles") > 0) & (F.col("component_id") != F.col("doc_id")))
+        gone = land(gone.select(F.col("doc_id").alias("_gone")), "gone")
+        return whole.join(small(gone, MAX_BROADCAST), F.col("_doc_id") == F.col("_gone"), "left_anti").select("_row.*")
+    # ids repeat or are missing: rows are numbered, and components are of rows
+    numbered = land(whole.withColumn("_id", F.monotonically_increasing_id()), "rows")
+    found = land(set_components(numbered.select("_id", "_text"), n, percent).where(F.col("n_grams") > 0).select("_id", "root"), "found")
+    place = F.struct(F.col("_doc_id").isNull(), "_doc_id", "_text", "_id")
+    first = found.join(numbered, "_id").groupBy("root").agg(F.min(place).alias("p")).select(F.col("p._id").alias("_id"))
+    gone = land(found.join(first, "_id", "left_anti").select("_id"), "gone")
+    return numbered.join(small(gone, MAX_BROADCAST), "_id", "left_anti").select("_row.*")

@@ -6,8 +6,9 @@ document counts over whole texts and the whole corpus, ``pmi = log2(n_te * N / (
 against the information of the value itself, ``ic = log2(N / n_e)``. A term that occurs with the
 value in ``min_support`` documents or more, in ``min_support`` different surroundings or more
 (copies of one text show nothing new), and has ``pmi >= disclosure * ic`` is a disclosing term:
-each of its occurrences outside the values becomes a span too, anywhere in a document with a value
-and, with ``everywhere``, as the query has it, in all other documents.
+each of its occurrences outside the values becomes a span too, anywhere in any document.
+At ``disclosure`` 0.9 a term tells nine tenths of what it takes to name the value: whoever sees
+it finds the value in at least ``(n_e / N) ** 0.1`` of the documents with the term.
 ``sanitise`` removes the value and generalises the term.
 
 The surroundings of a pair in a document are ``window`` code points on either side of each place
@@ -17,7 +18,8 @@ bound neither what is counted nor what is marked.
 Counts are combined on the map side, per document first, so a value or a word in a third of all
 documents is one row per task. Pairs are formed for rows with a protected value, and only of terms and
 values whose counts can pass the bounds; other rows are read for the counts of those terms and for the
-disclosing terms, and meet a join on these alone.
+disclosing terms, and meet a join on these alone. The patterns run once over all texts; after that only over
+texts with the hash of one that holds a value or a disclosing term.
 
 Defined results:
 
@@ -50,7 +52,7 @@ HIDDEN = "\ue000"  # a private-use character stands for each letter of an e-mail
 WINDOW = 80  # code points on either side of a value that tell copies of a text apart
 NEAR = 8  # words on either side of a term that do so
 MIN_SUPPORT = 2
-DISCLOSURE = 0.5
+DISCLOSURE = 0.9
 #: Words and row ids: at most so many are broadcast; hashes of texts are narrow, more of them may be.
 MAX_BROADCAST = 200_000
 MAX_HASHES = 2_000_000
@@ -110,9 +112,8 @@ def base_spans(text: Column) -> Column:
         "card": text.rlike("[0-9][0-9 -]"),
         "phone": text.rlike(r"\+[0-9]"),
     }
-    empty = F.array().cast("array<struct<kind:int,start:int,end:int,entity:string>>")
     return F.concat(
-        *(F.coalesce(F.when(needs[kind], _of_kind(text, k, kind)), empty) for k, kind in enumerate(KINDS))
+        *(F.coalesce(F.when(needs[kind], _of_kind(text, k, kind)), _no_value()) for k, kind in enumerate(KINDS))
     )
 
 
@@ -247,43 +248,40 @@ def disclosing_terms(
 
 
 def _judged(
-    docs: DataFrame, window: int, min_support: int, disclosure: float, everywhere: bool, *keep: str
+    docs: DataFrame, window: int, min_support: int, disclosure: float, *keep: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows that may hold a span, the spans by ``_rid`` (each once), and the rows without one."""
-    private = _private(docs, window, *keep)
+    hashed = docs.withColumn("_hash", F.xxhash64("_text"))
+    private = _private(hashed, window, "_hash", *keep)
     terms = land(disclosing_terms(docs, private, min_support, disclosure).select("term").distinct(), "terms")
     wanted = small(terms, MAX_BROADCAST)
-    base = private.select("_rid", F.explode("_base").alias("b")).select("_rid", "b.kind", "b.start", "b.end")
-
-    def spans_of(rows: DataFrame) -> DataFrame:
-        hits = (
-            rows.select("_rid", F.inline("_words"))
-            .join(wanted, "term", "left_semi")
-            .select("_rid", F.lit(len(KINDS)).alias("kind"), "start", "end")
-        )
-        return base.unionByName(hits).distinct()
-
-    if not everywhere:
-        return private, spans_of(private), _found(docs).where(F.size("_base") == 0)
-    # texts that hold a disclosing term: the hash only parts the rows, each is looked at itself
-    hashed = docs.withColumn("_hash", F.xxhash64("_text"))
-    touched = land(
+    # texts that hold a value or a disclosing term: the hash only parts the rows, each is looked at itself
+    held = (
         hashed.select("_hash", F.explode(_terms(F.col("_text"))).alias("term"))
         .join(wanted, "term", "left_semi")
         .select("_hash")
-        .distinct(),
-        "touched",
+        .unionByName(private.select("_hash"))
     )
-    clean = _found(hashed).where(F.size("_base") == 0)
-    texts = small(touched, MAX_HASHES)
+    texts = small(land(held.distinct(), "touched"), MAX_HASHES)
     marked = land(
-        clean.join(texts, "_hash", "left_semi").select(
-            (-1 - F.monotonically_increasing_id()).alias("_rid"), *keep, "_base", _words(F.col("_text")).alias("_words")
-        ),
+        _found(hashed.join(texts, "_hash", "left_semi"))
+        .where(F.size("_base") == 0)
+        .select((-1 - F.monotonically_increasing_id()).alias("_rid"), *keep, "_base", _words(F.col("_text")).alias("_words")),
         "marked",
     )
-    rows = private.drop("_about").unionByName(marked)
-    return rows, spans_of(rows), clean.join(texts, "_hash", "left_anti")
+    rows = private.drop("_about", "_hash").unionByName(marked)
+    base = private.select("_rid", F.explode("_base").alias("b")).select("_rid", "b.kind", "b.start", "b.end")
+    hits = (
+        rows.select("_rid", F.inline("_words"))
+        .join(wanted, "term", "left_semi")
+        .select("_rid", F.lit(len(KINDS)).alias("kind"), "start", "end")
+    )
+    rest = hashed.join(texts, "_hash", "left_anti").select(*keep, _no_value().alias("_base"))
+    return rows, base.unionByName(hits).distinct(), rest
+
+
+def _no_value() -> Column:
+    return F.array().cast("array<struct<kind:int,start:int,end:int,entity:string>>")
 
 
 def _joined(items: Column) -> Column:
@@ -301,11 +299,10 @@ def find_pii(
     window: int = WINDOW,
     min_support: int = MIN_SUPPORT,
     disclosure: float = DISCLOSURE,
-    everywhere: bool = False,
 ) -> DataFrame:
     """Counts, digest of the pattern spans, and all spans, for every row of ``docs``."""
     rows = docs.select(F.col("doc_id").alias("_doc_id"), F.col("text").alias("_text"))
-    held, found, clean = _judged(rows, window, min_support, disclosure, everywhere, "_doc_id")
+    held, found, clean = _judged(rows, window, min_support, disclosure, "_doc_id")
     all_spans = found.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_spans"))
     no_span = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     clean = clean.select("_doc_id", "_base", no_span.alias("_spans"))
@@ -325,7 +322,6 @@ def sanitise(
     window: int = WINDOW,
     min_support: int = MIN_SUPPORT,
     disclosure: float = DISCLOSURE,
-    everywhere: bool = False,
 ) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; columns as they were.
 
@@ -335,7 +331,7 @@ def sanitise(
     from pyspark.sql import Window as W
 
     rows = packed(docs, "text")
-    held, found, clean = _judged(rows, window, min_support, disclosure, everywhere, "_row", "_text")
+    held, found, clean = _judged(rows, window, min_support, disclosure, "_row", "_text")
     before = W.partitionBy("_rid").orderBy("start", F.desc("end"), "kind").rowsBetween(W.unboundedPreceding, -1)
     pieces = (
         found.withColumn("done", F.coalesce(F.max("end").over(before), F.lit(0)))

@@ -152,6 +152,25 @@ def test_ngram_join_with_repeated_ids(spark, clashing, none):
     assert ngram_join.ngram_components(none).count() == 0
 
 
+def test_keep_one_chooses_rows_not_ids(spark):
+    a, b = prose(41, 60), prose(42, 60)
+    rows = [(7, a), (7, b), (8, b), (5, b), (8, None), (None, a), (None, prose(43, 60)), (9, ""), (9, " ")]
+    kept = ngram_join.keep_one(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string"))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(
+        map(str, [(7, a), (5, b), (8, None), (None, prose(43, 60)), (9, ""), (9, " ")])
+    )
+
+
+def test_leaks_of_rows_that_share_an_id(spark):
+    item = prose(44, 60)
+    items, w = spark.createDataFrame([(1, item)], "item_id long, text string"), item.split()
+    # each text holds a part of the item that is too short by itself
+    parts = [f"{prose(50 + k, 30)} {' '.join(w[at : at + 16])} {prose(60 + k, 30)}" for k, at in enumerate((0, 22, 44))]
+    docs = spark.createDataFrame([(1, t) for t in parts] + [(2, " ".join(parts)), (3, item), (3, item)], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.find_leaks(docs.where("doc_id <> 2"), items).collect()] == [3]
+    assert decontaminate.drop_leaks(docs.where("doc_id <> 2"), items).count() == 3
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (7, 7)] + [(500, 500 + k) for k in range(1, 40)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -223,12 +242,12 @@ def test_pii_terms_in_whole_texts(spark):
     rows = [(i, f"zebulon {prose(800 + i, 60)} ann@example.com {prose(820 + i, 60)} Zebulon") for i in range(4)]
     rows += [(10 + i, prose(840 + i, 100)) for i in range(200)] + [(300, "home of zebulon and the river"), (301, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.spans.split(",") for r in pii.find_pii(df, everywhere=True).collect()}
+    found = {r.doc_id: r.spans.split(",") for r in pii.find_pii(df).collect()}
     for i in range(4):
         n = len(rows[i][1])
         assert "term:0:7" in found[i] and f"term:{n - 7}:{n}" in found[i]
     assert found[300] == ["term:8:15"] and found[301] == [""]
-    masked = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True).collect()}
+    masked = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
     assert masked[300] == "home of [TERM] and the river" and masked[301] is None and len(masked) == len(rows)
     assert not any("zebulon" in (t or "").lower() for t in masked.values())
 
@@ -249,8 +268,9 @@ def test_leaks(spark, docs, none, clashing):
     torn = item.replace("at 9", "at 5")
     rows = [(1, f"intro {item} end"), (2, item.upper()), (3, item.replace("9", "7").replace("120", "250").replace("Boston", "Austin")), (4, torn), (5, prose(6, 100)), (6, "we say: exactly five tokens are here!"), (7, None), (8, item.lower())]
     got = {(r.doc_id, r.item_id): r.n_changed for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
-    assert set(got) == {(1, 1), (2, 1), (3, 1), (6, 4), (8, 1)}
-    assert got[1, 1] == 0 and got[3, 1] > 0
+    # one edited value drops the windows that hold it, not the copy
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 1), (6, 4), (8, 1)}
+    assert got[1, 1] == 0 and got[3, 1] > 0 and got[4, 1] == 1
     kept = decontaminate.drop_leaks(clashing, items)
     assert kept.columns == clashing.columns and kept.count() == 3
     assert decontaminate.find_leaks(none, items).count() == 0
@@ -263,10 +283,10 @@ def test_leaks_with_one_edited_value(spark):
     items = spark.createDataFrame([(1, item), (2, pens)], "item_id long, text string")
     rows = [(1, item.replace("at 9", "at 5")), (2, pens.replace("2 pens", "3 pens").replace("2 books", "5 books")), (3, item), (4, prose(7, 60))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.n_changed) for r in decontaminate.find_leaks(docs, items, literal=True).collect()}
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.n_changed) for r in decontaminate.find_leaks(docs, items).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 1)}
     assert got[3, 1][1:] == (got[3, 1][0], 0) and 0 < got[1, 1][1] < got[1, 1][0] and got[1, 1][2] == 1
-    assert [r.doc_id for r in decontaminate.drop_leaks(docs, items, literal=True).collect()] == [4]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()] == [4]
 
 
 # ---- pieces
@@ -398,11 +418,70 @@ def test_language(spark, none):
     assert {r.lang_pred for r in language_id.identify(df, empty).collect()} == {"und"}
 
 
-def test_language_looks_at_every_place(spark, monkeypatch):
+def test_language_looks_at_every_place(spark):
     assert language_id.Model({"a": ["c"], "b": ["d"]}).predict("zzdzdz")[0] == "b"
-    monkeypatch.setattr(language_id, "MAX_TRAINING_CHARS", 12, raising=False)
     df = spark.createDataFrame([(i, "river stone house", "en") for i in range(8)], "doc_id long, text string, lang string")
-    assert set(language_id.fit(df).words) == {"river", "stone"}
+    assert set(language_id.fit(df, max_chars=12).words) == {"river", "stone"}
+
+
+def test_language_signs_ties_and_clashes(spark):
+    rows = [(i, ("a river", "ein Fluss")[i % 2], ("en", "de")[i % 2]) for i in range(40)] + [(41, "a river", "en")] * 30
+    signs = ["²", "½ ①", "_", "१२", "\u0301"]
+    rows += [(100 + k, t, None) for k, t in enumerate(signs)] + [(200, "a ein", None), (201, "中", None), (None, "ein Fluss", "de")]
+    df = spark.createDataFrame([(*r, "x", True, 0.5) for r in rows], "doc_id long, text string, lang string, h string, held_out boolean, score double")
+    model = language_id.fit(df)
+    got = {r.doc_id: r for r in language_id.identify(df, model).collect()}
+    assert {got[100 + k].lang_pred for k in range(len(signs))} == {"und"} and got[100].score == 0
+    # a sum that is equal goes to the first name
+    assert language_id.Model({"b": ["x y"], "a": ["y x"]}).predict("x") == ("a", 0.5)
+    assert got[201].lang_pred in ("de", "en") and 0 < got[201].score < 1
+    assert got[None].lang_pred == "de" and not got[None].held_out
+    # a row that is there 30 times is one of the sample
+    assert sorted(language_id.fit(df, sample=100).words) == sorted(model.words) and model.langs == ["de", "en"]
+
+
+def plain_language(samples, text):
+    """Words first, then at every place of an unseen word the longest known n-gram."""
+    langs = sorted(samples)
+    words = {x: Counter(w for t in samples[x] for w in re.findall(r"[a-zäöüß]+", t.lower())) for x in langs}
+    kinds = len({w for c in words.values() for w in c})
+    grams = {x: Counter() for x in langs}
+    for x in langs:
+        for w, n in words[x].items():
+            for k in range(1, 5):
+                for i in range(len(w) + 3 - k):
+                    grams[x][f"^{w}$"[i : i + k]] += n
+
+    def row(counts, sizes, n):
+        logs = [math.log((c + 0.1) / (s + 0.1 * (n + 1))) for c, s in zip(counts, sizes, strict=True)]
+        return [v - sum(logs) / len(logs) for v in logs]
+
+    total = [0.0] * len(langs)
+    for w in re.findall(r"[a-zäöüß]+", text.lower()):
+        if any(w in words[x] for x in langs):
+            parts = [row([words[x][w] for x in langs], [sum(words[x].values()) for x in langs], kinds)]
+        else:
+            parts = []
+            for at in range(len(w) + 2):
+                for k in range(4, 0, -1):
+                    g = f"^{w}$"[at : at + k]
+                    if len(g) == k and any(g in grams[x] for x in langs):
+                        every = {y for x in langs for y in grams[x] if len(y) == k}
+                        sizes = [sum(n for y, n in grams[x].items() if len(y) == k) for x in langs]
+                        parts.append([v * 0.63 ** (4 - k) for v in row([grams[x][g] for x in langs], sizes, len(every))])
+                        break
+        for p in parts:
+            total = [a + b for a, b in zip(total, p, strict=True)]
+    best = max(range(len(langs)), key=lambda i: (total[i], -i))
+    return langs[best], 1 / sum(math.exp(t - total[best]) for t in total)
+
+
+def test_language_as_plain():
+    samples = {"de": ["der Fluss und das Haus", "die Häuser am Fluss"], "en": ["the river and the house", "a stone house"], "xx": ["und and und"]}
+    model = language_id.Model(samples)
+    for text in ("the Fluss", "Hausboot am See", "riverside stonehouse", "zzz und and", "qqq", "häuser häuser river", "thes dasx"):
+        want, got = plain_language(samples, text), model.predict(text)
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-9
 
 
 def test_language_held_out_accuracy(spark, sf):
