@@ -219,20 +219,22 @@ def disclosing_terms(
         .select("term"),
         "often",
     )
+    # counted before the join: a task hands on one row for each of its words
     n_t = land(
         docs.select(F.explode(_terms(F.col("_text"))).alias("term"))
-        .join(small(often, MAX_BROADCAST), "term", "left_semi")
         .groupBy("term")
-        .agg(F.count("*").alias("n_t")),
+        .agg(F.count("*").alias("n_t"))
+        .join(often, "term", "left_semi"),
         "term-counts",
     )
     words = private.select("_rid", F.inline(near)).groupBy("_rid", "term").agg(F.min("seen").alias("t_seen"))
     pmi = F.log2(F.col("n_te") * F.lit(n) / (F.col("n_t") * F.col("n_e")))
     ic = F.log2(F.lit(n) / F.col("n_e"))
-    # n_te is n_e and n_t at most: what cannot pass with that is left out before pairs are shuffled
+    # n_te is n_e and n_t at most: what cannot pass with that is left out before pairs are shuffled;
+    # words that matter grow with the corpus, so they meet in a shuffle at every size
     best = F.log2(F.lit(n) / F.greatest("n_t", "n_e"))
     pairs = (
-        words.join(small(n_t, MAX_BROADCAST), "term")
+        words.join(n_t.hint("merge"), "term")
         .join(values.join(n_e, "entity"), "_rid")
         .where((ic > 0) & (best >= disclosure * ic - 1e-6))
     )
