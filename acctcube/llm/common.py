@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acctcube.session import scratch_path
+from acctcube.sources.store import Store
 
 #: ASCII white space, as the word rule has it.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -50,7 +51,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    landed = df.sparkSession.read.schema(df.schema).parquet(path)
+    landed._landed_at = path
+    return landed
+
+
+def discard(landed: DataFrame) -> None:
+    """Delete a table of ``land`` whose readers have landed their own results."""
+    Store(landed.sparkSession, landed._landed_at).delete("")
 
 
 def packed(docs: DataFrame, *columns: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from acctcube.llm.common import land
+from acctcube.llm.common import discard, land
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = land(_star(large, larger=False), "edges")
         # a fixed point: each edge joins a node to a root, and no root is below another
         same = now.count() == small.count() and now.exceptAll(small).isEmpty()
+        discard(now)
         now = small
         if same:
             break

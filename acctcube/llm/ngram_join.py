@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from acctcube.llm.common import land, packed, small
+from acctcube.llm.common import discard, land, packed, small
 from acctcube.llm.components import components
 
 N = 4
@@ -275,12 +275,15 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     # members outside the component of their tile's least member meet the others of the tile;
     # n-grams whose tiles are of one component have nothing left to show
     home = entries.join(part.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("root", "x")).drop("root")
-    home = land(home, "tiles")
+    own = land(home, "tiles")
+    discard(entries)
+    home = own
     # the bands that a hash has members in, as bits modulo 64
     mixed = home.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bit_or(_bit(F.col("band"))).alias("bands"))
     mixed = mixed.where("lo <> hi").select("h", "bands")
     marks = reps.select(F.col("_id").alias("x"), *(F.col("bits")[k].alias(f"s{k}") for k in range(WORDS)))
     home = land(home.join(mixed, "h").join(marks, "x"), "tiles")
+    discard(own)
     main = home.groupBy("h", "band").agg(F.min(F.struct("x", "c")).alias("p")).select("h", "band", F.col("p.c").alias("main"))
     # where the least members of neighbouring tiles differ, their whole tiles meet
     below = main.select("h", (F.col("band") + 1).alias("band"), F.col("main").alias("m0"))
@@ -308,6 +311,7 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     )
     rest = met.select(a, b).distinct()
     rest = land(rest.join(first, ["a", "b"], "left_anti"), "pairs")
+    discard(home)
     if not rest.isEmpty():
         more = land(_linked(docs, rest, reps, n, percent, bounded=True), "links")
         links = links.unionByName(more)
