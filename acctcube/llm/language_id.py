@@ -124,8 +124,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, max_words: int = MAX_WORDS, max_c
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # rows are chosen by hash and id; their texts are read afterwards
     hashed = rows.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("h"), part.alias("text"))
-    order = W.partitionBy("lang").orderBy("h", "doc_id")
-    places = hashed.drop("text").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+    places = hashed.drop("text").distinct()
+    # of a language with many rows only those with a small hash are ranked: about 4 times the sample
+    sizes = places.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    part_of = F.pmod("h", F.lit(1 << 31)) / F.lit(float(1 << 31))
+    few = places.join(sizes, "lang").where(part_of * F.col("n") < 4 * sample + 200)
+    order = W.partitionBy("lang").orderBy(part_of, "h", "doc_id")
+    places = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
     # ``sample`` rows per language; rows with the same id and text are one
     same = F.col("c.lang").eqNullSafe(F.col("r.lang")) & F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.h") == F.col("r.h"))
     chosen = F.broadcast(places.select("lang", "doc_id", "h").alias("c"))
