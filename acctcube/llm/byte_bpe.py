@@ -18,7 +18,7 @@ import tiktoken
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _byte_of_char() -> dict[str, int]:
+def byte_of_char() -> dict[str, int]:
     """Byte-level vocabularies print bytes without a visible form as characters from 256 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in visible]
@@ -35,7 +35,7 @@ class ByteBpe:
         if not plain or split["add_prefix_space"] or not split["use_regex"] or model.get("ignore_merges"):
             raise ValueError("not a plain byte-level BPE vocabulary")
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        byte_of = _byte_of_char()
+        byte_of = byte_of_char()
         self.bytes = {i: bytes(map(byte_of.__getitem__, t)) for t, i in model["vocab"].items() if t not in special}
         made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         if made != sorted(made) or len(made) + 256 != len(self.bytes):

@@ -1,25 +1,26 @@
 """Token-id files: documents in id order, coded with a range asymmetric numeral system.
 
-Texts are dealt by ranges of the id and sorted inside a range. Each task tokenises its range,
-gathers the ids of about ``GROUP`` tokens, and codes them as blocks that share one frequency table
-(``rans``). A group of blocks is one row of the file set, with the ids and lengths of its documents:
+Texts are dealt by ranges of the id and sorted inside a range. Each task tokenises its range and
+codes it in blocks of whole documents (about ``rans.BLOCK`` ids); the blocks of a group of about ``GROUP``
+ids share one frequency table (``rans``). A block is one row of the file set, with the ids and
+lengths of its documents, and can be decoded by itself:
 
-    part, seq, table, blocks, doc_ids, lengths, first
+    part, seq, block, first, size, low, high, table, data, doc_ids, lengths
 
-``first`` is the number of ids of the part before the group. Rows are written by Spark's
-writer, so a task that is lost and run again leaves no second copy, and are read back group by
-group in parallel. A text larger than a group makes a larger group, texts are never cut.
+``first`` is the number of ids of the part before the block, ``low`` and ``high`` are the least and
+greatest doc_id. Rows are written by Spark's writer, so a task that is lost and run again leaves no
+second copy, and are read back block by block in parallel. A reader of some ids takes the blocks that
+hold them and starts at the checkpoint before the first. A text larger than a block makes a larger
+block, texts are never cut.
 
 Defined results: a missing or empty text is the end id alone; rows that share an id are ordered by
-text, missing first, and a missing id comes before all others; extra columns are not looked at; an
+the first characters of their texts, missing first, then by the text's hash, then by text, and may
+lie in several ranges; a missing id comes before all others; extra columns are not looked at; an
 empty table gives a file set without rows.
 """
 
 from __future__ import annotations
 
-import functools
-import os
-import struct
 import zlib
 
 import numpy as np
@@ -27,134 +28,145 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from acctcube.llm.rans import decode_group, encode_group
+from acctcube.llm.rans import BLOCK, Table, decode_block, encode_block
+from acctcube.llm.word_bpe import word_bpe
 from acctcube.session import scratch_path
 
 GROUP = 1 << 21
 END_ID = 2
-CACHE = 400_000
+#: Characters of a text that deal and order the rows of one id.
+HEAD = 32
 
 FILE_SCHEMA = (
-    "part int, seq int, first long, table binary, blocks array<binary>, doc_ids array<long>, lengths array<long>"
+    "part int, seq int, block int, first long, size long, low long, high long, "
+    "table binary, data binary, doc_ids array<long>, lengths array<long>"
 )
 
 
-class WordIds(dict):
-    """Ids of white-space separated words, as little-endian unsigned 32-bit integers.
-
-    The tokenizer's own splitting never joins across ASCII white space, so the ids of a text are
-    those of its words in a row.
-    """
-
-    def __init__(self, json: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(json)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the words not yet known, in one call."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = list(words)
-        # the fast call leaves offsets out
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(new, (e.ids for e in found), strict=True))
-
-
-@functools.cache
-def word_ids(json: str) -> WordIds:
-    """One table per tokenizer and process."""
-    return WordIds(json)
-
-
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, partitions: int | None = None) -> None:
+def write_tokens(
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    end_id: int = END_ID,
+    partitions: int | None = None,
+    block_size: int = BLOCK,
+    group_size: int = GROUP,
+) -> None:
     """Write the ids of all texts of ``docs`` (columns doc_id, text) to ``path``."""
     with open(tokenizer_path, encoding="utf-8") as f:  # a vocabulary file: its text travels
         json = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known, part = word_ids(json.value), TaskContext.get().partitionId()
+        known, part = word_bpe(json.value), TaskContext.get().partitionId()
         seq = first = held = 0
-        ids, lengths, chunks = [], [], []
+        blocks, size = [], block_size
 
         def group():
-            nonlocal seq, first, held, ids, lengths, chunks
-            table, blocks = encode_group(np.frombuffer(b"".join(chunks), "<u4"))
-            row = {"part": [part], "seq": [seq], "first": [first], "table": [table], "blocks": [blocks], "doc_ids": [ids], "lengths": [lengths]}
-            seq, first, held, ids, lengths, chunks = seq + 1, first + held, 0, [], [], []
-            return pa.RecordBatch.from_pydict(row, schema=_ARROW)
+            nonlocal seq, first, held, blocks, size
+            tokens = [np.frombuffer(b"".join(chunks), "<u4") for _, _, chunks in blocks]
+            shared = Table.of(np.concatenate(tokens))
+            table = shared.to_bytes()
+            for k, ((ids, lengths, _), t) in enumerate(zip(blocks, tokens, strict=True)):
+                here = [i for i in ids if i is not None]
+                ends = (min(here), max(here)) if here else (None, None)
+                row = (part, seq, k, first, len(t), *ends, table, encode_block(t, shared), ids, lengths)
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
+                first += len(t)
+            seq, held, blocks, size = seq + 1, 0, [], block_size
 
         for b in batches:
-            # slices, so that the words of a few texts at a time are held
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                split = [(t or "").encode().split() for t in piece.column(1).to_pylist()]
-                known.learn({w for words in split for w in words})
-                for i, words in zip(piece.column(0).to_pylist(), split, strict=True):
-                    data = b"".join(map(known.__getitem__, words)) + end
-                    ids.append(i)
-                    lengths.append(len(data) // 4)
-                    chunks.append(data)
-                    held += len(data) // 4
-                    if held >= GROUP:
-                        yield group()
-        if ids:
-            yield group()
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                data = known.ids(text or "") + end
+                if size >= block_size:
+                    blocks.append(([], [], []))
+                    size = 0
+                ids, lengths, chunks = blocks[-1]
+                ids.append(i)
+                lengths.append(len(data) // 4)
+                chunks.append(data)
+                size += len(data) // 4
+                held += len(data) // 4
+                if held >= group_size:
+                    yield from group()
+        if blocks:
+            yield from group()
+
+    text = F.col("text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("_id"), text.alias("_text"), F.substring(text, 1, HEAD).alias("_head"), F.xxhash64(text).alias("_hash")
+    )
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.col("_id").asc_nulls_first())
-    ordered = dealt.sortWithinPartitions(F.col("_id").asc_nulls_first(), F.col("_text").asc_nulls_first())
-    ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
+    order = [F.col("_id").asc_nulls_first(), F.col("_head").asc_nulls_first(), F.col("_hash")]
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "_text")
+    # the blocks of a group repeat their table, which this codec stores once
+    ordered.select("_id", "_text").mapInArrow(run, FILE_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 _ARROW = pa.schema(
     [
         ("part", pa.int32()),
         ("seq", pa.int32()),
+        ("block", pa.int32()),
         ("first", pa.int64()),
+        ("size", pa.int64()),
+        ("low", pa.int64()),
+        ("high", pa.int64()),
         ("table", pa.binary()),
-        ("blocks", pa.list_(pa.binary())),
+        ("data", pa.binary()),
         ("doc_ids", pa.list_(pa.int64())),
         ("lengths", pa.list_(pa.int64())),
     ]
 )
 
 
-def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` and, if wanted, the ids of every document in the files."""
+def read_tokens(spark: SparkSession, path: str, ids: bool = True, between: tuple[int, int] | None = None) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` and, if wanted, the ids of every document in the files,
+    or of those with an id from ``between[0]`` to ``between[1]``."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     # one row per part of the file set, not per document
-    sizes = files.groupBy("part").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)).alias("size"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = files.groupBy("part").agg(F.sum("size").alias("size"))
     parts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    if between:
+        files = files.where((F.col("high") >= between[0]) & (F.col("low") <= between[1]))
     names = ["part", "doc_id", "at", "n_tokens", "ids_crc32", *["ids"] * ids]
+    columns = ("part", "seq", "first", "size", "table", "data", "doc_ids", "lengths")
 
     def run(batches):
+        group = shared = lookup = None
         for b in batches:
             for k in range(b.num_rows):
-                row = {f: b.column(f)[k].as_py() for f in ("part", "first", "table", "blocks", "doc_ids", "lengths")}
-                tokens = decode_group(row["table"], row["blocks"])
-                ends = np.cumsum(row["lengths"])
-                if len(tokens) != ends[-1]:
-                    raise ValueError("group is damaged")
-                docs = np.split(tokens, ends[:-1])
-                data = [
-                    pa.array([row["part"]] * len(docs), pa.int32()),
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(ends - row["lengths"] + row["first"], pa.int64()),
-                    pa.array(row["lengths"], pa.int64()),
+                part, seq, first, size, table, data, doc_ids, lengths = (c[k].as_py() for c in b.columns)
+                if group != (part, seq):
+                    group, shared = (part, seq), Table.from_bytes(table)
+                    lookup = shared.lookup()
+                ends = np.cumsum(lengths)
+                if size != ends[-1]:
+                    raise ValueError("block is damaged")
+                wanted = [k for k, i in enumerate(doc_ids) if between is None or i is not None and between[0] <= i <= between[1]]
+                if not wanted:
+                    continue
+                # ids ascend, so the wanted documents stand in a row
+                a, z = wanted[0], wanted[-1] + 1
+                start = ends[a] - lengths[a]
+                tokens = decode_block(data, shared, lookup, int(start), int(ends[z - 1]))
+                if len(tokens) != ends[z - 1] - start:
+                    raise ValueError("block is damaged")
+                docs = np.split(tokens, ends[a : z - 1] - start)
+                out = [
+                    pa.array([part] * len(docs), pa.int32()),
+                    pa.array(doc_ids[a:z], pa.int64()),
+                    pa.array(ends[a:z] - lengths[a:z] + first, pa.int64()),
+                    pa.array(lengths[a:z], pa.int64()),
                     pa.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], pa.int64()),
                 ]
                 if ids:
-                    data.append(pa.array([d.astype(np.int64) for d in docs], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(data, names)
+                    out.append(pa.array([d.astype(np.int64) for d in docs], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(out, names)
 
-    docs = files.mapInArrow(run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids)
+    schema = "part int, doc_id long, at long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
+    docs = files.select(*columns).mapInArrow(run, schema)
     return docs.join(F.broadcast(parts), "part").select(
         "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * ids
     )

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from hashlib import sha256
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from acctcube.llm import (
     decontaminate, html_extract, language_id, license_scan, lm_score, ngram_join, pii, quality_rules, rans,
-    sentencepiece_fst, token_files,
+    sentencepiece_fst, token_files, word_bpe,
 )
 from acctcube.llm.common import spans
 from acctcube.llm.components import components
@@ -25,6 +26,7 @@ from acctcube.suite.check import compare, connect
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = "the of and der die la que le river stone house green never often under paper glass winter summer".split()
 
 
@@ -354,6 +356,62 @@ def test_token_files(spark, docs, none, clashing):
     assert [r.start for r in token_files.digests(clashing, WORD_BPE).orderBy("start").collect()][0] == 0
 
 
+def test_token_files_in_blocks(spark):
+    """Small blocks and groups, one hot id, missing ids, chosen ids: the same ids as the library's, in id order."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    texts = ["", None, "It's <|endoftext|> here", "Ünïcode ΣΑΣ 中文 ½\u2028x", "word " * 3000, "\U0001fae8 \u0560 new"]
+    rows = [(7 if k % 3 == 0 else k if k % 50 else None, f"{texts[k % 6] or ''} {k}" if k % 7 else texts[k % 6]) for k in range(400)]
+    path = scratch_path(spark, "token-blocks")
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path, WORD_BPE, partitions=7, block_size=50, group_size=200)
+    files = spark.read.parquet(path)
+    assert files.select("part", "seq", "block").distinct().count() == files.count() > 50
+    assert files.where(F.array_contains("doc_ids", 7)).select("part").distinct().count() > 1  # a hot id lies in several ranges
+    got = token_files.read_tokens(spark, path).orderBy("start").collect()
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    want = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows]
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    assert sorted(((r.doc_id, r.ids) for r in got), key=key) == sorted(want, key=key)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+    some = token_files.read_tokens(spark, path, between=(100, 120)).orderBy("start").collect()
+    assert some == [r for r in got if r.doc_id is not None and 100 <= r.doc_id <= 120] != []
+
+
+@pytest.fixture(scope="module")
+def word_ends():
+    with open(WORD_BPE, encoding="utf-8") as f:
+        return word_bpe.WordBpe(f.read())
+
+
+def same_ids(own, texts):
+    return [t for t, e in zip(texts, own.library.encode_batch_fast(texts, add_special_tokens=False), strict=True) if own.ids(t) != np.array(e.ids, "<u4").tobytes()]
+
+
+def test_word_ends_every_code_point(word_ends):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert word_ends.plain
+    assert not same_ids(word_ends, ["".join(f"a{c}1{c} {c}{c}.{c}  {c}b'{c}S" for c in points[k : k + 16]) for k in range(0, len(points), 16)])
+
+
+def test_word_ends_texts(word_ends, sf):
+    rng = random.Random(1)
+    mixed = ["".join(rng.choice("ab 1'stlé\n\t.<|>▁  中ΣσİKñ̃\x1c\x85") for _ in range(rng.randint(0, 60))) for _ in range(5000)]
+    longer = ["a" * 100_000, "ab1" * 30_000, "é" * 50_000, "<|endoftext|>" * 500, "<|ENDOFTEXT|>", "zq" * 5000]
+    known = [w.removesuffix("</w>") for w in list(word_ends.library.get_vocab())[::7]]
+    whole = [r[0] or "" for r in duckdb.sql(f"select text from '{sf}/documents.parquet'").fetchall()]
+    for texts in (mixed, longer, known, whole):
+        assert not same_ids(word_ends, texts)
+
+
+def test_word_ends_of_another_file(word_ends):
+    """A file that is cut in another way is left to the library."""
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        other = word_bpe.WordBpe(f.read())
+    assert not other.plain and not same_ids(other, ["Some words, 12 of them", ""])
+
+
 # ---- language model
 
 
