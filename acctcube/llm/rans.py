@@ -32,7 +32,9 @@ class Table:
 
     @classmethod
     def of(cls, tokens: np.ndarray) -> Table:
-        symbols, counts = np.unique(tokens, return_counts=True)
+        counts = np.bincount(tokens, minlength=1)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
         whole = 1 << PRECISION
         if len(symbols) > whole:
             raise ValueError("more symbols than the table can hold")
@@ -62,13 +64,19 @@ class Table:
         steps, freqs = np.frombuffer(zlib.decompress(data[8:]), "<u4").reshape(2, n)
         return cls(np.cumsum(steps, dtype=np.uint32), freqs)
 
+    def index(self) -> np.ndarray:
+        """Index of every symbol, by its value."""
+        places = np.zeros(int(self.symbols.max(initial=0)) + 1, np.uint32)
+        places[self.symbols] = np.arange(len(self.symbols), dtype=np.uint32)
+        return places
+
     def lookup(self) -> np.ndarray:
         """Index of the symbol at every slot."""
         return np.repeat(np.arange(len(self.freqs), dtype=np.uint32), self.freqs.astype(np.int64))
 
 
 def encode_block(tokens: np.ndarray, table: Table) -> bytes:
-    index = np.searchsorted(table.symbols, tokens)
+    index = table.index()[tokens]
     freq, start = table.freqs[index], table.starts[index]
     n = len(tokens)
     steps = -(-n // LANES)

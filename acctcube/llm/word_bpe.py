@@ -22,9 +22,8 @@ from tokenizers import Tokenizer
 
 from acctcube.llm.byte_bpe import byte_of_char
 
-CACHE = 400_000
-#: Pieces beyond this many characters are not remembered.
-LONG = 64
+#: Pieces are forgotten when they hold this many characters together.
+CACHE = 1 << 22
 END = "</w>"
 
 #: The parts of a file whose texts are cut here.
@@ -66,22 +65,40 @@ class WordBpe(dict):
             and not (model["dropout"] or model["unk_token"] or model["fuse_unk"] or model["byte_fallback"] or model["ignore_merges"])
         )
         if self.plain:
-            self._own, self._id = _merger({t: i for t, i in model["vocab"].items() if t not in special}, model["merges"])
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self._id[self._own.encode_to_numpy(piece + " ", disallowed_special=())].tobytes()
-        if len(piece) <= LONG:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = found
-        return found
+            own = {t: i for t, i in model["vocab"].items() if t not in special}
+            self._own, self._id = _merger(own, model["merges"])
+            ends = {i for t, i in own.items() if t.endswith(END) and t != END}
+            self._last = np.isin(self._id, list(ends))
+            self._held = 0
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Merge the pieces not yet known, in one call."""
+        if self._held > CACHE:
+            self.clear()
+            self._held = 0
+        new = [p for p in set(pieces) if p not in self]
+        if new:
+            joined = " ".join(new) + " "
+            found = self._own.encode_to_numpy(joined, disallowed_special=())
+            ends = (4 * (np.flatnonzero(self._last[found]) + 1)).tolist()
+            data = self._id[found].tobytes()
+            self.update((p, data[a:b]) for p, a, b in zip(new, [0, *ends], ends))
+            self._held += len(joined)
+
+    def _lower(self, text: str) -> str:
+        """The text as the file's normaliser gives it, but for white space."""
+        if unicodedata.is_normalized("NFC", text):
+            # the normaliser does not look at a letter's place in its word
+            return text.replace("Σ", "σ").lower()
+        return self.library.normalizer.normalize_str(text)
 
     def ids(self, text: str) -> bytes:
         """Ids of a text, without special tokens of the tokenizer's own adding."""
         simple = text.isascii()
         if not self.plain or self._special.search(text) or not simple and not _agreed().issuperset(set(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = _ascii_pieces(text.lower()) if simple else _pieces(self.library.normalizer.normalize_str(text))
+        pieces = _ascii_pieces(text.lower()) if simple else _pieces(self._lower(text))
+        self._learn(pieces)
         return b"".join(map(self.__getitem__, pieces))
 
 
