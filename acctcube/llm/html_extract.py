@@ -114,12 +114,16 @@ def parse(html: str, labels: bool = False) -> tuple[list[Node], list[tuple[Node,
             block.punct += text.count(".") + text.count(",") + text.count("!") + text.count("?")
             block.words += text.count(" ") + 1
 
+    # no tag ends after the last ">": the rest is text, up to a comment that nothing closes
+    last = html.rfind(">") + 1
     while True:
-        m = _TAG.search(html, at)
+        m = _TAG.search(html, at, last)
         if m is None:
-            say(html[at:])
+            say(html[at:].partition("<!--")[0])
             break
         say(html[at : m.start()])
+        if m[0].startswith("<!--") and not (len(m[0]) >= len("<!---->") and m[0].endswith("-->")):
+            break
         at = m.end()
         end, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:

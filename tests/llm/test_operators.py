@@ -616,6 +616,23 @@ def test_pages(spark, sf):
     assert plain.where("page_id = 0").first().text == wanted
 
 
+def test_pages_without_tag_ends():
+    """A megabyte of tags that nothing ends is text, read once; a comment that nothing closes hides the rest."""
+    import time
+
+    def said(html):
+        return " ".join(text for _, text in html_extract.parse(html)[1])
+
+    began = time.monotonic()
+    assert said("<p>one</p>" + "<a " * 350_000).startswith("one <a <a")
+    assert time.monotonic() - began < 2
+    assert said("<p>a > b <c") == "a > b <c"
+    for comment in ("<!-- x > y", "<!-->", "<!--->", "<!-- x", "<!", "<!-- x --"):
+        assert said(f"<p>kept</p>{comment} tail").split()[0] == "kept"
+        assert ("tail" in said(f"<p>kept</p>{comment} tail")) == (comment == "<!")
+    assert said("<p>a<!-- x > y -->b<!---->c</p>") == "abc"
+
+
 # ---- the pipeline
 
 
