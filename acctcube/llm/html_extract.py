@@ -345,9 +345,21 @@ def extract_pages(htmls: list[str | None], model: BoostedTrees | None) -> list[s
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> BoostedTrees | None:
-    fitting = pages.where(F.length("html").between(1, MAX_TRAINING_CHARS))
-    chosen = fitting.orderBy(F.xxhash64(F.col("page_id").cast("string"), F.lit("sample")), "html").limit(sample)
-    return train([r[0] for r in chosen.select("html").collect()])
+    return train(_sampled(pages, sample))
+
+
+def _sampled(pages: DataFrame, sample: int) -> list[str]:
+    """The pages with the smallest hashes. Hashes alone are ranked; the pages are read for the chosen ones."""
+    key = F.xxhash64(F.col("page_id").cast("string"), F.lit("sample"))
+    fitting = pages.where(F.length("html").between(1, MAX_TRAINING_CHARS)).select(key.alias("key"), F.xxhash64("html").alias("of"), "html")
+    chosen = [tuple(r) for r in fitting.select("key", "of").orderBy("key", "of").limit(sample).collect()]
+    if not chosen:
+        return []
+    k, h = chosen[-1]
+    upto = (F.col("key") < k) | ((F.col("key") == k) & (F.col("of") <= h))
+    # at most one row to a chosen pair of hashes, however often a page repeats
+    html = {(r.key, r.of): r.html for r in fitting.where(upto).groupBy("key", "of").agg(F.min("html").alias("html")).collect()}
+    return [html[pair] for pair in chosen]
 
 
 def extract(pages: DataFrame, model: BoostedTrees | None) -> DataFrame:

@@ -616,6 +616,18 @@ def test_pages(spark, sf):
     assert plain.where("page_id = 0").first().text == wanted
 
 
+def test_pages_sampled(spark, sf):
+    """Whole pages in the order of their hashes; repeated rows and missing ids count each."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html")
+    order = F.xxhash64(F.col("page_id").cast("string"), F.lit("sample"))
+    fitting = pages.where(F.length("html").between(1, html_extract.MAX_TRAINING_CHARS))
+    assert html_extract._sampled(pages, 30) == [r.html for r in fitting.orderBy(order, F.xxhash64("html")).limit(30).collect()]
+    rows = [(None, "<p>same</p>")] * 20 + [(3, "<p>three</p>"), (3, None), (4, "")]
+    odd = spark.createDataFrame(rows, "page_id long, html string")
+    assert sorted(html_extract._sampled(odd, 100)) == ["<p>same</p>"] * 20 + ["<p>three</p>"]
+    assert html_extract._sampled(odd.where("page_id = 4"), 5) == []
+
+
 def test_pages_without_tag_ends():
     """A megabyte of tags that nothing ends is text, read once; a comment that nothing closes hides the rest."""
     import time
