@@ -7,7 +7,15 @@ from acctcube.sources.readers import (
     read_landed,
 )
 from acctcube.sources.store import CommitConflict
-from acctcube.sources.writers import in_order, save_bucketed, save_table, write_csv, write_named, write_split
+from acctcube.sources.writers import (
+    in_order,
+    save_bucketed,
+    save_table,
+    write_csv,
+    write_named,
+    write_records,
+    write_split,
+)
 
 __all__ = [
     "CommitConflict",
@@ -22,5 +30,6 @@ __all__ = [
     "save_table",
     "write_csv",
     "write_named",
+    "write_records",
     "write_split",
 ]

@@ -1,4 +1,4 @@
-"""Sinks: CSV, one CSV folder or named file per key value, landed tables that can be replaced."""
+"""Sinks: CSV, lines of records, one CSV folder or named file per key value, landed tables that can be replaced."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from acctcube.operators.best import Order, sort_columns
 from acctcube.sources.store import Commits, Store
 
 BOM = "\ufeff"
+#: Lines in a file of ``write_records`` at most.
+RECORDS_IN_FILE = 250_000
 
 
 def in_order(df: DataFrame, order: Order) -> DataFrame:
@@ -43,6 +45,20 @@ def write_csv(df: DataFrame, path: str, bom: bool = False, mode: str = "error",
     )
 
 
+def write_records(lines: DataFrame, path: str, mode: str = "error") -> None:
+    """Lines such as fixed-width records, their bytes kept as they are, compressed as they are written.
+
+    Most of a fixed-width record is padding. A compressed file is read by one task, so no file holds
+    more than ``RECORDS_IN_FILE`` lines. ``read_fixed_width`` reads them back.
+    """
+    (
+        lines.write.mode(mode)
+        .option("compression", "lz4")
+        .option("maxRecordsPerFile", RECORDS_IN_FILE)
+        .text(path)
+    )
+
+
 def write_split(
     df: DataFrame,
     path: str,

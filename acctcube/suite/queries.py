@@ -53,6 +53,7 @@ from acctcube.sources import (
     save_table,
     write_csv,
     write_named,
+    write_records,
     write_split,
 )
 from acctcube.suite import tables as t
@@ -141,14 +142,14 @@ def src_csv(spark, sf):
 @query
 def src_fixed_width(spark, sf):
     path = scratch_path(spark, "records")
-    t.short_records(spark, sf).write.text(path)
+    write_records(t.short_records(spark, sf), path)
     return read_fixed_width(spark, path, t.SHORT_LAYOUT)
 
 
 @query
 def src_fixed_width_retake(spark, sf):
     path = scratch_path(spark, "retake-records")
-    t.retake_records(spark, sf).write.text(path)
+    write_records(t.retake_records(spark, sf), path)
     return read_fixed_width(spark, path, RETAKE_LAYOUT)
 
 
@@ -183,7 +184,7 @@ def sink_split_by_key(spark, sf):
 @query
 def src_fixed_width_latin(spark, sf):
     path = scratch_path(spark, "latin-records")
-    t.latin_records(spark, sf).write.text(path)
+    write_records(t.latin_records(spark, sf), path)
     return read_fixed_width(spark, path, t.LATIN_LAYOUT, charset="ISO-8859-1", status="record_status")
 
 

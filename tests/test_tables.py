@@ -14,7 +14,7 @@ from acctcube.operators.release import Suppression, release_district, release_sc
 from acctcube.operators.reports import missing_id_report, region_rollup, split_code, unmatched_ids
 from acctcube.plans.publish import publish
 from acctcube.session import cut_lineage, scratch_path, shared_dir
-from acctcube.sources import decode_fixed_width, read_csv, read_fixed_width, save_table, write_csv, write_split
+from acctcube.sources import decode_fixed_width, read_csv, read_fixed_width, save_table, write_csv, write_split, writers
 from acctcube.suite import queries as q, tables as t
 
 
@@ -226,6 +226,33 @@ def test_fixed_width_file(spark, sf):
     assert df.where("science is not null").count() == 0
 
 
+def test_records_come_back_as_they_were(spark, frame, monkeypatch):
+    monkeypatch.setattr(writers, "RECORDS_IN_FILE", 100)
+    lines = [("Zoë  23  7",), ("",), (" " * 30,), ("x" * 70000,)] + [(f"{i:>5}",) for i in range(1000)]
+    latin = frame([("é2",), ("Läst",)], "value string").select(F.encode("value", "ISO-8859-1").cast("string").alias("value"))
+    for df, n in ((frame(lines, "value string").coalesce(1), 11), (latin.coalesce(1), 1), (frame([], "value string"), 1)):
+        path = scratch_path(spark, "lines")
+        writers.write_records(df, path)
+        back = spark.read.text(path)
+        # no file holds more lines than one task should read
+        assert len(list(Path(path).glob("part-*"))) == n
+        raw = F.col("value").cast("binary").alias("value")
+        assert sorted(bytes(r.value) for r in back.select(raw).collect()) == sorted(bytes(r.value) for r in df.select(raw).collect())
+
+
+@pytest.mark.parametrize("name, length", [("src_fixed_width_retake", 782)])
+def test_padding_of_records_takes_no_room(spark, tmp_path, name, length):
+    n = 20000
+    spark.range(n).selectExpr(
+        "id as l_orderkey", "id * 7919 % 20000 as l_partkey", "id * 31 % 1000 as l_suppkey", "cast(1 + id % 7 as int) as l_linenumber",
+        "cast(id % 50 as double) as l_quantity", "1d as l_extendedprice", "0d as l_discount", "0.08d as l_tax", "'N' as l_returnflag",
+        "'F' as l_linestatus", "timestamp_ntz'2017-02-01 00:00:00' + make_dt_interval(cast(id % 900 as int)) as l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = q.QUERIES[name](spark, str(tmp_path))
+    assert df.count() == n
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for f in df.inputFiles()) < n * length / 4
+
+
 def session_stub(master, checkpoint=None, **conf):
     core = SimpleNamespace(get=lambda k, d=None: conf.get(k, d))
     sc = SimpleNamespace(
