@@ -819,5 +819,5 @@ def missing_id_report(spark, sf):
 @query
 def unmatched_ids(spark, sf):
     path = scratch_path(spark, "highest-records")
-    t.highest_records(spark, sf).write.text(path)
+    write_records(t.highest_records(spark, sf), path)
     return rp.unmatched_ids(read_fixed_width(spark, path, HIGHEST_LAYOUT))

@@ -240,7 +240,7 @@ def test_records_come_back_as_they_were(spark, frame, monkeypatch):
         assert sorted(bytes(r.value) for r in back.select(raw).collect()) == sorted(bytes(r.value) for r in df.select(raw).collect())
 
 
-@pytest.mark.parametrize("name, length", [("src_fixed_width_retake", 782)])
+@pytest.mark.parametrize("name, length", [("src_fixed_width_retake", 782), ("unmatched_ids", 740)])
 def test_padding_of_records_takes_no_room(spark, tmp_path, name, length):
     n = 20000
     spark.range(n).selectExpr(
