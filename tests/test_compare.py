@@ -73,6 +73,50 @@ def test_hot_key_is_counted_before_the_shuffle(spark, plan):
     assert df.collect()[0].n_mismatch == 100000
 
 
+def rows_shuffled(df):
+    """Rows that the last run of ``df`` sent through its exchanges."""
+
+    def written(node):
+        kind, n = node.getClass().getSimpleName(), node.metrics().get("shuffleRecordsWritten")
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        if kind == "AdaptiveSparkPlanExec":
+            below = [node.executedPlan()]
+        elif kind.endswith("QueryStageExec"):
+            below = [node.plan()]
+        return (n.get().value() if n.isDefined() else 0) + sum(map(written, below))
+
+    return written(df._jdf.queryExecution().executedPlan())
+
+
+def test_copies_that_differ_are_counted_not_made(spark):
+    # a million rows under the missing key, none equal to one of the other side
+    rows = spark.range(0, 1000000, 1, 8).select("id", F.lit(None).cast("int").alias("k"), (F.col("id") % 2).alias("v"))
+    df = mismatch_counts(rows, rows.where("id < 900000").withColumn("v", F.col("v") + 5), ["k"], ["v"])
+    assert df.collect()[0].n_mismatch == 1000000
+    assert 0 < rows_shuffled(df) < 20000
+
+
+def test_copies_over_many_blocks(frame):
+    # copies that begin and end inside blocks, at their bounds and behind the end of the other side
+    for a, b in (
+        ({"p": 5000, "q": 2048, "r": 1}, {"s": 7049}), ({"p": 4096}, {"s": 2048, "t": 2048}), ({"p": 1}, {"s": 9000, "t": 3}),
+        ({"p": 3000, None: 3000}, {}), ({}, {None: 2049}), ({"p": 100, "q": 4000}, {"q": 10, "s": 2100, None: 1995}),
+    ):
+        ours, theirs = ([(None, s) for s, n in side.items() for _ in range(n)] for side in (a, b))
+        tables = [frame(rows, "k int, s string") for rows in (ours, theirs)]
+        got = Counter(((r["_x"].s,) if r["_x"] else None, (r["_y"].s,) if r["_y"] else None) for r in paired(*tables, ["k"], {"s": "s"}).collect())
+        assert got.total() == max(len(ours), len(theirs))
+        assert sum(n for (x, y), n in got.items() if x and y) == min(len(ours), len(theirs))
+        for side, rows in enumerate((ours, theirs)):
+            found = Counter()
+            for pair, n in got.items():
+                found[pair[side]] += n
+            found.pop(None, None)
+            assert found == Counter((s,) for _, s in rows)
+        differ = sum(n for (x, y), n in got.items() if (x or (None,)) != (y or (None,)))
+        assert mismatch_counts(*tables, ["k"], ["s"]).collect()[0].n_mismatch == differ
+
+
 # ---- carry forward ---------------------------------------------------------
 
 
