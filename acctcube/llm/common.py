@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acctcube.session import scratch_path
@@ -12,6 +13,9 @@ from acctcube.sources.store import Store
 #: ASCII white space, as the word rule has it.
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Rows that a task holds as Python objects at a time.
+SLICE = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +60,26 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return landed
 
 
+def land_mapped(df: DataFrame, name: str) -> DataFrame:
+    """``land`` for a table that Python functions make: Spark sends them ``SLICE`` rows at a time at
+    most, so neither side of the pipe holds a buffer of ten thousand texts. The setting is as it was
+    afterwards; no result depends on it."""
+    conf = df.sparkSession.conf
+    was = conf.get(ARROW_ROWS)
+    conf.set(ARROW_ROWS, str(min(int(was), SLICE) if int(was) > 0 else SLICE))
+    try:
+        return land(df, name)
+    finally:
+        conf.set(ARROW_ROWS, was)
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, ``SLICE`` at a time at most."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            yield whole.slice(at, SLICE)
+
+
 def discard(landed: DataFrame) -> None:
     """Delete a table of ``land`` whose readers have landed their own results."""
     Store(landed.sparkSession, landed._landed_at).delete("")

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from acctcube.llm.common import discard, land, packed, small
+from acctcube.llm.common import discard, land, land_mapped, packed, slices, small
 from acctcube.llm.components import components
 
 N = 4
@@ -50,8 +50,8 @@ BITS = 512
 LARGE, WIDE = 1300, 1 << 14
 WORDS = BITS // 64
 _MARKS = [f"s{k}" for k in range(WORDS)]
-#: Words whose hashes a task remembers, and rows it holds as Python objects at a time.
-MAX_WORDS, SLICE = 200_000, 1000
+#: Words whose hashes a task remembers.
+MAX_WORDS = 200_000
 #: Pairs of two ids are small; at most so many ids are broadcast.
 MAX_BROADCAST = 500_000
 
@@ -87,10 +87,8 @@ def gram_hashes(text: str | None, n: int, seen: WordHashes) -> np.ndarray:
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, SLICE):
-            b = whole.slice(at, SLICE)
-            yield b.column(0).to_pylist(), b.column(1).to_pylist()
+    for b in slices(batches):
+        yield b.column(0).to_pylist(), b.column(1).to_pylist()
 
 
 def _frequent(docs: DataFrame, n: int, look: float, max_frequent: int) -> np.ndarray:
@@ -104,7 +102,7 @@ def _frequent(docs: DataFrame, n: int, look: float, max_frequent: int) -> np.nda
             h, c = np.unique(np.concatenate([*parts, np.empty(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
 
-    counts = land(
+    counts = land_mapped(
         docs.select("_id", "_text").mapInArrow(low, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1"),
         "gram-counts",
     )
@@ -193,10 +191,10 @@ def _linked(docs: DataFrame, pairs: DataFrame, reps: DataFrame, n: int, percent:
     ids = land(likely.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "likely-ids")
     # the text of one row per id that stands for its set
     texts = docs.join(small(ids, MAX_BROADCAST), "_id", "left_semi")
-    grams = land(_grams(texts, n), "grams")
+    grams = land_mapped(_grams(texts, n), "grams")
 
     def exact(batches):
-        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
+        for b in slices(batches):
             pairs = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
             hit = []
             for x, y in pairs:
@@ -237,7 +235,7 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     """``_id, n_grams, digest, root`` for every row of ``docs`` (columns ``_id``, ``_text``); ids are unique."""
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent(docs, n, LOOK, max_frequent))
-    sets = land(_sets(docs, n, percent, frequent), "sets")
+    sets = land_mapped(_sets(docs, n, percent, frequent), "sets")
     classes = land(
         sets.where(F.col("n_grams") > 0).groupBy("digest").agg(F.min("_id").alias("rep")), "classes"
     )
@@ -269,7 +267,7 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     ends = F.least(F.col("n_x") - F.col("pos"), F.col("n_y") - F.col("pos_y"))
     near = near & _reach(1 + ends, F.col("n_x") + F.col("n_y"), percent)
     first = land(entries.join(offered, near).select(a, b).distinct(), "pairs")
-    links = land(_linked(docs, first, reps, n, percent), "links")
+    links = land_mapped(_linked(docs, first, reps, n, percent), "links")
     part = land(components(links), "parts")
 
     # members outside the component of their tile's least member meet the others of the tile;
@@ -313,7 +311,7 @@ def set_components(docs: DataFrame, n: int = N, percent: int = PERCENT, max_freq
     rest = land(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     discard(home)
     if not rest.isEmpty():
-        more = land(_linked(docs, rest, reps, n, percent, bounded=True), "links")
+        more = land_mapped(_linked(docs, rest, reps, n, percent, bounded=True), "links")
         links = links.unionByName(more)
         part = land(components(links), "parts") if not more.isEmpty() else part
     return (

@@ -32,6 +32,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from acctcube.llm.common import slices
+
 SPACE = "▁"
 CACHE = 300_000
 LONGEST_CACHED = 48
@@ -306,7 +308,7 @@ def _mapped(docs: DataFrame, model_path: str, text: str, add, schema: T.StructTy
 
     def run(batches):
         machine = compiled(model.value)
-        for b in batches:
+        for b in slices(batches):
             columns = add(machine, b.column(b.schema.get_field_index(text)).to_pylist())
             kept = [(b.schema.field(i), b.column(i)) for i in range(b.num_columns) if b.schema.field(i).name != text or text in schema.names]
             yield pa.RecordBatch.from_arrays([c for _, c in kept] + [c for _, c in columns], [f.name for f, _ in kept] + [n for n, _ in columns])

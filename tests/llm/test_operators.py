@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from acctcube.llm import (
-    decontaminate, html_extract, language_id, license_scan, lm_score, ngram_join, pii, quality_rules, rans,
+    common, decontaminate, html_extract, language_id, license_scan, lm_score, ngram_join, pii, quality_rules, rans,
     sentencepiece_fst, token_files, word_bpe,
 )
 from acctcube.llm.common import spans
@@ -674,3 +674,58 @@ def test_pipeline_against_plain_stages(spark, docs):
 
 
 SCHEMA_NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_python_gets_a_bounded_number_of_rows_and_the_setting_stays(spark):
+    def batch_sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    was = spark.conf.get(common.ARROW_ROWS)
+    rows = spark.range(0, 2 * common.SLICE + 500, 1, 1)
+    sizes = [r.n for r in common.land_mapped(rows.mapInArrow(batch_sizes, "n long"), "sizes").collect()]
+    assert sum(sizes) == rows.count() and max(sizes) == common.SLICE
+    assert spark.conf.get(common.ARROW_ROWS) == was
+    spark.conf.set(common.ARROW_ROWS, "300")  # a smaller bound of the session is kept
+    try:
+        sizes = [r.n for r in common.land_mapped(rows.mapInArrow(batch_sizes, "n long"), "sizes").collect()]
+        assert max(sizes) == 300 and spark.conf.get(common.ARROW_ROWS) == "300"
+    finally:
+        spark.conf.set(common.ARROW_ROWS, was)
+
+
+def test_n_gram_sets_are_made_of_bounded_batches(spark, monkeypatch):
+    seen = []
+    land = common.land
+    monkeypatch.setattr(common, "land", lambda df, name: (seen.append((name, spark.conf.get(common.ARROW_ROWS))), land(df, name))[1])
+    monkeypatch.setattr(ngram_join, "land", common.land)
+    texts = spark.createDataFrame([(i, prose(3, 60)) for i in range(3)] + [(9, prose(3, 59))], "doc_id long, text string")
+    assert {r.component_id for r in ngram_join.ngram_components(texts).collect()} == {0}
+    of = {name: int(rows) for name, rows in seen}
+    assert {of[name] for name in ("gram-counts", "sets", "grams", "links")} == {common.SLICE}
+
+
+def test_texts_are_encoded_a_bounded_number_at_a_time(spark):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    class Caught:
+        sparkSession = spark
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    sizes = []
+
+    def add(machine, texts):
+        sizes.append(len(texts))
+        return [("n", pa.array([len(machine.encode(t)) for t in texts], pa.int32()))]
+
+    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.IntegerType())])
+    run = sentencepiece_fst._mapped(Caught(), PIECES, "text", add, schema)
+    texts = [f"a stone {i}" for i in range(2 * common.SLICE + 500)]
+    out = pa.Table.from_batches(run([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    assert sizes == [common.SLICE, common.SLICE, 500]
+    assert out.column("text").to_pylist() == texts and min(out.column("n").to_pylist()) > 0
