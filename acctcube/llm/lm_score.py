@@ -24,10 +24,12 @@ an empty model, 0 for every token; extra columns are not looked at; an empty tab
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from acctcube.llm.common import id_bucket, land
@@ -41,6 +43,8 @@ BATCH = 4096
 RATE = 0.05
 HEAVY = 50  # a triple of more tokens is parted over several rows
 SMOOTH = 0.1
+CHUNK = 2500  # texts whose triples are counted together
+PIECE_ROWS, PIECE_BYTES = 500, 1 << 22  # texts that are split at a time; a longer one is alone
 END = b""  # no word is empty
 LN10 = float(np.log(10.0))
 
@@ -49,23 +53,54 @@ def held_out() -> Column:
     return F.coalesce(id_bucket("doc_id", 10) == 0, F.lit(False))
 
 
-def _words(text: str | None) -> list[bytes]:
-    # bytes.lower and bytes.split know ASCII only, which is the rule
-    return [*(text or "").encode().lower().split(), END]
+def _words(texts: pa.Array) -> pa.Array:
+    """Lists of the words of every text and the end."""
+    # these functions know ASCII only, which is the rule
+    begun = pc.ascii_ltrim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # splitting leaves an empty string after the last space, and in an empty text: the end
+    space, nothing = (pa.scalar(x, begun.type) for x in (" ", ""))
+    spaced = pc.binary_join_element_wise(begun, space, nothing)
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(begun, nothing), begun, spaced))
+
+
+def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, a bounded number and size of texts at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    at = 0
+    while at < batch.num_rows:
+        fit_in = int(np.searchsorted(ends, ends[at] + PIECE_BYTES, "right")) - 1 - at
+        rows = min(max(fit_in, 1), PIECE_ROWS)
+        yield batch.slice(at, rows)
+        at += rows
+
+
+def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Codes of the words and ends of all texts, the place where each text begins, the word of each code."""
+    words = _words(texts)
+    coded = words.flatten().dictionary_encode()
+    starts = words.offsets.to_numpy()[:-1].astype(np.int64)
+    return coded.indices.to_numpy().astype(np.int64), starts, coded.dictionary
+
+
+def _counted(batch: pa.RecordBatch) -> pa.Table:
+    """``word, c`` of the texts of ``batch``; of its pieces only the counts are held together."""
+    parts = []
+    for piece in _pieces(batch, 0):
+        found = _words(piece.column(0)).flatten().value_counts()
+        parts.append(pa.table([found.field("values").cast(pa.string()), found.field("counts")], ["word", "c"]))
+    summed = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")])
+    return summed.select(["word", "c_sum"]).rename_columns(["word", "c"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, c`` over the training rows of ``docs``, combined per batch before the shuffle."""
 
     def run(batches):
-        from collections import Counter
-
         for b in batches:
-            counts: Counter[bytes] = Counter()
-            for t in b.column(0).to_pylist():
-                counts.update(_words(t))
-            words = pa.array(list(counts), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+            if b.num_rows:
+                yield from _counted(b).to_batches()
+            pa.default_memory_pool().release_unused()
 
     return docs.where(~held_out()).select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -85,9 +120,16 @@ class Vocabulary:
     def classes(self) -> int:
         return len(self.own) + SHARED
 
-    def class_of(self, word: bytes) -> int:
-        found = self.own.get(word)
-        return len(self.own) + zlib.crc32(word) % SHARED if found is None else found
+    def class_of(self, words: np.ndarray) -> np.ndarray:
+        found = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % SHARED + len(self.own)
+        own = pc.fill_null(pc.index_in(pa.array(words, pa.binary()), value_set=pa.array(list(self.own), pa.binary())), -1)
+        own = own.to_numpy()
+        return np.where(own < 0, found, own)
+
+    def count_of(self, words: np.ndarray) -> np.ndarray:
+        """Tokens of the words of the head, 0 for others."""
+        get = self.counts.get
+        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
 
     def unigram(self) -> np.ndarray:
         return (self.class_tokens + SMOOTH) / (self.class_tokens + SMOOTH).sum()
@@ -115,52 +157,6 @@ def vocabulary(counts: DataFrame, head: int = HEAD, own: int = OWN) -> Vocabular
     return Vocabulary(total, kinds, least, known, classes, tokens, sizes)
 
 
-class _Classes(dict):
-    """Word to class, remembered up to a bound."""
-
-    def __init__(self, v: Vocabulary):
-        super().__init__(v.own)
-        self.v = v
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-            self.update(self.v.own)
-        self[word] = c = self.v.class_of(word)
-        return c
-
-
-class _Seen:
-    """Slots of the words met so far, with class and log count in arrays; begun anew when full."""
-
-    SIZE = 400_000
-
-    def __init__(self, v: Vocabulary):
-        self.v = v
-        self.clear(0)
-
-    def clear(self, at_least: int) -> None:
-        size = max(self.SIZE, at_least)
-        self.classes, self.known = np.zeros(size, np.int64), np.zeros(size, bool)
-        self.log_c = np.full(size, -1.0)
-        self.words: list[bytes] = []
-        self.slot: dict[bytes, int] = {}
-
-    def slots(self, words: list[bytes]) -> np.ndarray:
-        if len(self.slot) + len(words) > len(self.known):
-            self.clear(len(words))
-        slot = self.slot
-        for w in words:
-            if w not in slot:
-                slot[w] = k = len(self.words)
-                self.words.append(w)
-                self.classes[k] = self.v.class_of(w)
-                c = self.v.counts.get(w)
-                if c is not None:
-                    self.known[k], self.log_c[k] = True, np.log10(c + SMOOTH)
-        return np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
-
-
 class LogBilinear:
     """Parameters in one vector: A and B (a row more for the start of a text), Q, bias."""
 
@@ -192,23 +188,39 @@ class LogBilinear:
         log_noise = np.log(NOISE * self.noise)
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            (a, b, w), c = triples[rows].T, weights[rows]
-            h, q = self.a[a] + self.b[b], self.q[w]
+            a, b, w = np.ascontiguousarray(triples[rows].T)
+            c = weights[rows]
+            h = self.a.take(a, axis=0)
+            h += self.b.take(b, axis=0)
+            q = self.q.take(w, axis=0)
             data = c * _miss(np.einsum("ij,ij->i", h, q) + self.bias[w] - log_noise[w])
             sampled = rng.choice(len(self.noise), NOISE, p=self.noise)
             qn = self.q[sampled]
-            wrong = -c[:, None] * _sigmoid(h @ qn.T + self.bias[sampled] - log_noise[sampled])
-            gh = data[:, None] * q + wrong @ qn
+            # large arrays are changed in place: new ones cost more than the arithmetic
+            wrong = h @ qn.T
+            wrong += self.bias[sampled]
+            wrong -= log_noise[sampled]
+            wrong = _sigmoid(wrong)
+            wrong *= -c[:, None]
+            gh = wrong @ qn
+            q *= data[:, None]
+            gh += q
+            both = np.concatenate([w, sampled])
+            gq = np.concatenate([h, wrong.T @ h])
+            gq[: len(w)] *= data[:, None]
             self._step("a", a, gh, state)
             self._step("b", b, gh, state)
-            self._step("q", np.concatenate([w, sampled]), np.concatenate([data[:, None] * h, wrong.T @ h]), state)
-            self._step("bias", np.concatenate([w, sampled]), np.concatenate([data, wrong.sum(axis=0)]), state)
+            self._step("q", both, gq, state)
+            self._step("bias", both, np.concatenate([data, wrong.sum(axis=0)]), state)
 
     def _step(self, name: str, rows: np.ndarray, grad: np.ndarray, state: dict[str, np.ndarray]) -> None:
         x = getattr(self, name)
-        total = np.zeros_like(x)
-        np.add.at(total, rows, grad)
-        seen = state.setdefault(name, np.full_like(x, 1.0))
+        # summed by place in the flat parameters, in the order of the rows
+        places = rows if x.ndim == 1 else np.arange(x.size).reshape(x.shape).take(rows, axis=0).ravel()
+        total = np.bincount(places, grad.ravel(), x.size).reshape(x.shape)
+        if name not in state:
+            state[name] = np.ones_like(x)
+        seen = state[name]
         seen += total**2
         x += RATE * total / np.sqrt(seen)
 
@@ -221,17 +233,28 @@ class LogBilinear:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
+    y = np.clip(x, -30, 30)
+    np.negative(y, out=y)
+    np.exp(y, out=y)
+    y += 1.0
+    return np.divide(1.0, y, out=y)
 
 
 def _miss(x: np.ndarray) -> np.ndarray:
     return _sigmoid(-x)
 
 
-def _contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes two and one place before each token."""
-    padded = np.concatenate([[start, start], ids])
-    return padded[:-2], padded[1:-1]
+def _objects(words: pa.Array) -> np.ndarray:
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False)
+
+
+def _contexts(ids: np.ndarray, starts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes two and one place before each token of texts that begin at ``starts``."""
+    a, b = np.roll(ids, 2), np.roll(ids, 1)
+    a[starts] = b[starts] = start
+    second = starts + 1  # of a text of one token: the start of the next
+    a[second[second < len(ids)]] = start
+    return a, b
 
 
 def fit(docs: DataFrame, v: Vocabulary) -> LogBilinear:
@@ -240,19 +263,27 @@ def fit(docs: DataFrame, v: Vocabulary) -> LogBilinear:
 
     def run(batches):
         v = shared.value
-        classes, n = _Classes(v), v.classes()
+        n = v.classes()
         model, rng, state, tokens = LogBilinear(v.unigram()), np.random.default_rng(5), {}, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2500):
+            for at in range(0, batch.num_rows, CHUNK):
                 keys = []
-                for t in batch.column(0).slice(at, 2500).to_pylist():
-                    ids = np.fromiter(map(classes.__getitem__, _words(t)), np.int64)
-                    a, b = _contexts(ids, n)
+                for piece in _pieces(batch.slice(at, CHUNK), 0):
+                    codes, starts, words = _coded(piece.column(0))
+                    ids = v.class_of(_objects(words))[codes]
+                    a, b = _contexts(ids, starts, n)
                     keys.append((a * (n + 1) + b) * n + ids)
                     tokens += len(ids)
                 found, c = np.unique(np.concatenate(keys), return_counts=True)
-                triples = np.stack([found // n // (n + 1), found // n % (n + 1), found % n], axis=1)
+                del keys
+                triples = np.empty((len(found), 3), np.int32)
+                triples[:, 2] = found % n
+                found //= n
+                triples[:, 1] = found % (n + 1)
+                triples[:, 0] = found // (n + 1)
+                del found
                 model.train(triples, c.astype(float), rng, state)
+        pa.default_memory_pool().release_unused()
         if tokens:
             x = model.vector()
             yield pa.RecordBatch.from_arrays([pa.array([float(tokens)]), pa.array([x], pa.list_(pa.float64()))], ["tokens", "x"])
@@ -278,41 +309,37 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: LogBilinear)
     def run(batches):
         v, model = shared.value
         n, own = v.classes(), len(v.own)
-        first, second, log_z = (x.astype(np.float32) for x in model.tables())
+        first, second, log_z = (x.astype(np.float32).ravel() for x in model.tables())
         # what a word's share of its class is divided by; words with their own class: their count
         share = np.concatenate([v.class_tokens[:own] + SMOOTH, v.class_tokens[own:] + SMOOTH * (v.class_kinds[own:] + 1)])
         share = np.log10(share)
-        seen = _Seen(v)
-        tail_kind = pa.struct([("word", pa.string()), ("tf", pa.int64())])
         for batch in batches:
-            # the tails of a few hundred texts are held at a time
-            for at in range(0, batch.num_rows, 500):
-                piece = batch.slice(at, 500)
-                rows, tail_words, tail_tf, ends = [], [], [], [0]
-                for t in piece.column(2).to_pylist():
-                    words = _words(t)
-                    slots = seen.slots(words)
-                    ids, known = seen.classes[slots], seen.known[slots]
-                    a, b = _contexts(ids, n)
-                    class_log10 = float((first[a, ids] + second[b, ids] - log_z[a, b]).sum(dtype=np.float64)) / LN10
-                    rare, tf = np.unique(slots[~known], return_counts=True)
-                    tail_words.extend(map(seen.words.__getitem__, rare.tolist()))
-                    tail_tf.append(tf)
-                    ends.append(ends[-1] + len(rare))
-                    # a word of the tail counts as log10(0 + 0.1); the join adds what its count makes of it;
-                    # log c stands once in the base and once in the share of the class
-                    log_c = float(seen.log_c[slots].sum())
-                    rows.append((len(words), int(known.sum()), log_c, class_log10 - float(share[ids].sum())))
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            for piece in _pieces(batch, 2):
+                codes, starts, words = _coded(piece.column(2))
+                n_tokens = np.diff(starts, append=len(codes))
+                kinds = _objects(words)
+                c = v.count_of(kinds)
+                # a word of the tail counts as log10(0 + 0.1); the join adds what its count makes of it;
+                # log c stands once in the base and once in the share of the class
+                log_c, known = np.log10(c + SMOOTH)[codes], (c > 0)[codes]
+                ids = v.class_of(kinds)[codes]
+                a, b = _contexts(ids, starts, n)
+                classes = first.take(a * n + ids) + second.take(b * n + ids) - log_z.take(a * (n + 1) + b)
+                class_log10 = np.add.reduceat(classes, starts, dtype=np.float64) / LN10
+                text = np.repeat(np.arange(piece.num_rows), n_tokens)
+                rare, tf = np.unique((text * len(words) + codes)[~known], return_counts=True)
+                ends = np.searchsorted(rare, np.arange(piece.num_rows + 1) * len(words))
                 tails = pa.StructArray.from_arrays(
-                    [pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(np.concatenate(tail_tf), pa.int64())],
-                    fields=list(tail_kind),
+                    [words.take(pa.array(rare % len(words))).cast(pa.string()), pa.array(tf, pa.int64())], ["word", "tf"]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0),
                         piece.column(1),
-                        *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)),
+                        pa.array(n_tokens, pa.int64()),
+                        pa.array(np.add.reduceat(known, starts, dtype=np.int64)),
+                        pa.array(np.add.reduceat(log_c, starts)),
+                        pa.array(class_log10 - np.add.reduceat(share[ids], starts)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "log_c", "rest", "tail"],

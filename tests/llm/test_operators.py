@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -10,6 +11,7 @@ from hashlib import sha256
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -459,6 +461,109 @@ def test_lm_trains_with_full_counts(monkeypatch):
     assert math.isclose(sum(got), 1545)
 
 
+def plain_train(model, triples, weights, rng):
+    """Updates of ``train`` as they are defined, with one unbuffered sum per row."""
+    seen = {name: np.ones_like(getattr(model, name)) for name in ("a", "b", "q", "bias")}
+    log_noise = np.log(lm_score.NOISE * model.noise)
+    order = rng.permutation(len(triples))
+    for at in range(0, len(order), lm_score.BATCH):
+        rows = order[at : at + lm_score.BATCH]
+        (a, b, w), c = triples[rows].T, weights[rows]
+        h, q = model.a[a] + model.b[b], model.q[w]
+        x = -(np.einsum("ij,ij->i", h, q) + model.bias[w] - log_noise[w])
+        data = c * (1.0 / (1.0 + np.exp(-np.clip(x, -30, 30))))
+        sampled = rng.choice(len(model.noise), lm_score.NOISE, p=model.noise)
+        qn = model.q[sampled]
+        x = h @ qn.T + model.bias[sampled] - log_noise[sampled]
+        wrong = -c[:, None] * (1.0 / (1.0 + np.exp(-np.clip(x, -30, 30))))
+        gh, both = data[:, None] * q + wrong @ qn, np.concatenate([w, sampled])
+        grads = {
+            "a": (a, gh),
+            "b": (b, gh),
+            "q": (both, np.concatenate([data[:, None] * h, wrong.T @ h])),
+            "bias": (both, np.concatenate([data, wrong.sum(axis=0)])),
+        }
+        for name, (places, grad) in grads.items():
+            total = np.zeros_like(seen[name])
+            np.add.at(total, places, grad)
+            seen[name] += total**2
+            getattr(model, name)[...] += lm_score.RATE * total / np.sqrt(seen[name])
+
+
+def test_lm_training_costs_less_than_its_plain_form():
+    rng, n = np.random.default_rng(3), 800
+    triples, weights = rng.integers(0, n, (60_000, 3)), rng.integers(1, 40, 60_000).astype(float)
+    unigram = rng.random(n) + 0.1
+    took = {"plain": [], "train": []}
+    for _ in range(3):
+        plain, model = (lm_score.LogBilinear(unigram / unigram.sum()) for _ in took)
+        began = time.thread_time()
+        plain_train(plain, triples, weights, np.random.default_rng(5))
+        took["plain"].append(time.thread_time() - began)
+        began = time.thread_time()
+        model.train(triples, weights, np.random.default_rng(5), {})
+        took["train"].append(time.thread_time() - began)
+        assert np.allclose(model.vector(), plain.vector(), rtol=1e-12, atol=1e-12)
+    assert min(took["train"]) < 0.8 * min(took["plain"])
+
+
+ODD = [None, "", " ", "  A", "a  ", "\x0b\x0cA\tb\r\n c \x1c\x85 \u00c9 \u00e9\u3000x", "\x00 \x00", "Z " * 300, "a\x1fb c\x1d d", " \t\n", "b a Z"]
+
+
+def plain_words(text):
+    return [*(text or "").encode().lower().split(), b""]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("limits", [(500, 1 << 22), (2, 1 << 22), (500, 7), (1, 1)])
+def test_lm_words_by_pieces(monkeypatch, kind, limits):
+    """Words, places and contexts of texts split together are those of each text by itself."""
+    monkeypatch.setattr(lm_score, "PIECE_ROWS", limits[0])
+    monkeypatch.setattr(lm_score, "PIECE_BYTES", limits[1])
+    whole = pa.RecordBatch.from_arrays([pa.array(["x", *ODD, "y"], kind)], ["text"]).slice(1, len(ODD))
+    got, before = [], []
+    for piece in lm_score._pieces(whole, 0):
+        assert 0 < piece.num_rows <= limits[0]
+        codes, starts, words = lm_score._coded(piece.column(0))
+        a, b = lm_score._contexts(codes, starts, -1)
+        names = [*words.cast(pa.binary()).to_pylist(), None]
+        for at, end in zip(starts, [*starts[1:], len(codes)], strict=True):
+            got.append([names[k] for k in codes[at:end]])
+            before.append([(names[i], names[j]) for i, j in zip(a[at:end], b[at:end], strict=True)])
+    assert got == [plain_words(t) for t in ODD]
+    assert before == [list(zip([None, None, *w], [None, *w], strict=False))[: len(w)] for w in got]
+    assert not [*lm_score._pieces(whole.slice(0, 0), 0)]
+
+
+def test_lm_scores_of_odd_texts(spark):
+    """Each text's score is the model's, word by word, whatever texts stand beside it."""
+    rows = [(i % 40, ODD[i % len(ODD)], "en", "s", 1) for i in range(120)] + [(None, "Z a", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+    counts = lm_score.word_counts(docs).cache()
+    train = [t for i, t, *_ in rows if i is None or zlib.crc32(str(i).encode()) % 10]
+    assert {r.word.encode(): r.c for r in counts.collect()} == Counter(w for t in train for w in plain_words(t))
+    v = lm_score.vocabulary(counts, 40, 2)
+    assert len(v.counts) < v.kinds  # some words are of the tail
+    model = lm_score.fit(docs, v)
+    first, second, log_z = model.tables()
+    known, n = {r.word.encode(): r.c for r in counts.collect()}, v.classes()
+
+    def plain(text):
+        a, b, total = n, n, 0.0
+        for w in plain_words(text):
+            k = v.own.get(w, len(v.own) + zlib.crc32(w) % lm_score.SHARED)
+            total += (first[a, k] + second[b, k] - log_z[a, b]) / math.log(10)
+            if k >= len(v.own):
+                total += math.log10((known.get(w, 0) + 0.1) / (v.class_tokens[k] + 0.1 * (v.class_kinds[k] + 1)))
+            a, b = b, k
+        return total
+
+    got = [(str(r.doc_id), r.n_tokens, r.n_known, r.score) for r in lm_score.score(docs, counts, v, model).collect()]
+    want = [(str(i), len(plain_words(t)), sum(w in known for w in plain_words(t)), plain(t)) for i, t, *_ in rows]
+    for g, w in zip(sorted(got), sorted(want), strict=True):
+        assert g[:3] == w[:3] and math.isclose(g[3], w[3], rel_tol=1e-5)
+
+
 # ---- languages, licences, pages
 
 
